@@ -93,7 +93,7 @@ def page_measures(text: str | None) -> tuple[int, int, float]:
         verdict = _verdict(unit, words)
         if verdict:
             spam += len(words)
-        if verdict is not False:
+        if verdict or verdict is None and len(words) >= 3:
             open_units.append((k, -1 if verdict else len(words)))
     if not open_units:
         return total, spam, 0.0
@@ -115,7 +115,7 @@ def page_measures(text: str | None) -> tuple[int, int, float]:
         places = range(begin[k], begin[k + 1])
         size, hit = sum(len(flat[i]) for i in places), sum(len(flat[i]) for i in places if covered[i])
         under += hit
-        if words >= 3 and hit >= 0.3 * size:
+        if words > 0 and hit >= 0.3 * size:
             spam += words
     return total, spam, under / chars
 
