@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import encodings, groups, leaks, near_duplicates, packing, repetition, spam
+from scriptoria.llm import encodings, groups, leaks, near_duplicates, packing, repetition, scan_noise, spam
 from scriptoria.session import Scratch
 from scriptoria.sources.tables import table
 
@@ -28,6 +28,14 @@ def p4_classes(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.near_duplicate_summary(table(spark, d, "needs_review"), Scratch(spark, "p4c"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.scan_noise(table(spark, d, "page_extractions"), table(spark, d, "needs_review"), Scratch(spark, "p6"))
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.repaired_texts(table(spark, d, "page_extractions"), table(spark, d, "needs_review"), Scratch(spark, "p6r"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return encodings.garbled_keys(table(spark, d, "page_extractions"))
 
@@ -55,7 +63,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [p1_found, p3_found, p4_found, p4_classes, p7_found, p7_restored, p8_packing, p9_found, p9_with_edits, p10_found]
+    made = [p1_found, p3_found, p4_found, p4_classes, p6_found, p6_repaired, p7_found, p7_restored, p8_packing, p9_found, p9_with_edits, p10_found]
     return {f.__name__: f for f in made}
 
 
