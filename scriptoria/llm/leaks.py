@@ -23,6 +23,8 @@ from scriptoria.llm.arrow import WORD, mix
 Q, RUN = 16, 12
 #: Characters of items that one broadcast index holds at most (one longer item makes its own index).
 BLOCK_CHARS = 4_000_000
+#: Characters of documents looked at together; one longer document is looked at alone.
+CHUNK_CHARS = 500_000
 #: Bits of the prefilter over q-gram hashes.
 FILTER_BITS = 24
 
@@ -171,9 +173,13 @@ def leaked_items(docs: DataFrame, items: DataFrame, edits: int = 0, doc_id: str
             for b in batches:
                 texts = [_norm(t) for t in b.column("text").to_pylist()]
                 size = np.array([len(t) for t in texts], np.int64)
-                starts = np.r_[0, np.cumsum(size)]
-                joined = _codes("".join(texts))
-                rows = find_leaks(joined, np.repeat(np.arange(len(texts)), size), starts, index, edits)
+                total, rows, lo = np.cumsum(size), [], 0
+                while lo < len(texts):
+                    hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + CHUNK_CHARS, "right")))
+                    starts = np.r_[0, np.cumsum(size[lo:hi])]
+                    found = find_leaks(_codes("".join(texts[lo:hi])), np.repeat(np.arange(hi - lo, dtype=np.int32), size[lo:hi]), starts, index, edits)
+                    rows += [(lo + d, i, w) for d, i, w in found]
+                    lo = hi
                 ids = b.column("d").to_pylist()
                 yield pa.RecordBatch.from_pydict({
                     doc_id: pa.array([ids[d] for d, _, _ in rows], pa.int64()), item_id: pa.array([index.ids[i] for _, i, _ in rows], pa.int64()), "words": pa.array([w for _, _, w in rows], pa.int32()),
