@@ -2,29 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptoria.operators.incremental import plan_next_run
 from scriptoria.operators.references import find_orphans
+from scriptoria.plans import documents
+from scriptoria.plans.registry import QUERIES, SQL, query
 from scriptoria.session import Scratch
 from scriptoria.sources.tables import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 @query("""
 WITH last AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(original_path)) ORDER BY seen_at DESC NULLS LAST, scan_id DESC NULLS LAST) AS n FROM file_scans WHERE trim(original_path) <> ''),
 done AS (SELECT lower(trim(m.file_hash)) AS h FROM manifest m JOIN ingest_runs r ON lower(trim(r.status)) = 'succeeded'
@@ -50,3 +36,6 @@ FROM r WHERE trim(missing_key) <> '' AND NOT EXISTS (SELECT 1 FROM t WHERE t.ref
 """)
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return find_orphans(table(spark, d, "needs_review"), table(spark, d, "source_documents"), table(spark, d, "layout_profiles"))
+
+
+__all__ = ["QUERIES", "SQL", "documents"]
