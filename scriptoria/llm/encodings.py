@@ -81,12 +81,13 @@ class Repair:
         return bool(self.spans or self.lost)
 
 
-def _decode_spans(text: str, codec: str) -> tuple[str, int]:
+def _decode_spans(text: str, codec: str) -> tuple[str, int, int]:
+    """(text with the codec's spans decoded, their number, the characters they were)."""
     if not BEGINS[codec].search(text):
-        return text, 0
+        return text, 0, 0
     leads = CODECS[codec]
     as_bytes = text.translate(BACK[codec])
-    out, at, count = [], 0, 0
+    out, at, count, size = [], 0, 0, 0
     for m in SPAN.finditer(as_bytes):
         if leads and not all(text[k] in leads for k in range(m.start(), m.end()) if as_bytes[k] >= "\xc2"):
             continue
@@ -94,8 +95,8 @@ def _decode_spans(text: str, codec: str) -> tuple[str, int]:
         if not PLAUSIBLE.fullmatch(fixed):
             continue
         out += [text[at : m.start()], fixed]
-        at, count = m.end(), count + 1
-    return ("".join(out) + text[at:], count) if count else (text, 0)
+        at, count, size = m.end(), count + 1, size + len(m.group())
+    return ("".join(out) + text[at:], count, size) if count else (text, 0, 0)
 
 
 def repair(text: str | None) -> Repair:
@@ -104,11 +105,8 @@ def repair(text: str | None) -> Repair:
         return Repair(text or "", 0, (), 0)
     spans, used = 0, []
     for _ in range(4):  # a text can be wrongly decoded more than once
-        fixed, n, codec = *_decode_spans(text, "cp1252"), "cp1252"
-        if not n:
-            fixed, n, codec = *_decode_arabic(text), "cp1256"
-        if not n:
-            fixed, n, codec = max(((*_decode_spans(text, c), c) for c in CODECS), key=lambda x: x[1])
+        tried = [(*_decode_spans(text, c), c) for c in CODECS] + [(*_decode_arabic(text), "cp1256")]
+        fixed, n, size, codec = max(tried, key=lambda x: x[2])  # the encoding that explains the most characters
         if not n:
             break
         text, spans = fixed, spans + n
@@ -122,10 +120,11 @@ def repair(text: str | None) -> Repair:
     return Repair(text, spans, tuple(dict.fromkeys(used)), lost)
 
 
-def _decode_arabic(text: str) -> tuple[str, int]:
-    """One-byte Arabic read as cp1252; only where some run of letters could be nothing else."""
-    if not any(_try_arabic(m.group()) for m in RUN.finditer(text)):
-        return text, 0
+def _decode_arabic(text: str) -> tuple[str, int, int]:
+    """One-byte Arabic read as cp1252; only where some run of letters could be nothing else. As _decode_spans."""
+    sure = [m.group() for m in RUN.finditer(text) if _try_arabic(m.group())]
+    if not sure:
+        return text, 0, 0
     count = 0
 
     def fix(m: re.Match) -> str:
@@ -134,7 +133,7 @@ def _decode_arabic(text: str) -> tuple[str, int]:
         count += bool(fixed)
         return fixed or m.group()
 
-    return re.sub("[¡-ÿŒœŠšŸŽžƒˆ‘-„†-•…‰‹›€™]+", fix, text), count
+    return re.sub("[¡-ÿŒœŠšŸŽžƒˆ‘-„†-•…‰‹›€™]+", fix, text), count, sum(map(len, sure))
 
 
 def _try_arabic(run: str) -> str:
