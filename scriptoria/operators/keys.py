@@ -81,7 +81,7 @@ def round_robin_key(batches: DataFrame) -> DataFrame:
     start = F.struct(slots.alias("s"), F.lit(0).alias("at"))
 
     def step(acc: Column, token: Column) -> Column:
-        s, n = acc["s"], F.size(acc["s"])
+        s, n = acc["s"], F.greatest(F.size(acc["s"]), F.lit(1))
         order = F.transform(F.sequence(F.lit(0), n - 1), lambda k: (acc["at"] + k) % n)
         free = F.filter(order, lambda k: F.size(F.get(s, k)["got"]) < F.get(s, k)["n"])
         to = F.coalesce(F.get(free, F.lit(0)), acc["at"] % n)

@@ -103,5 +103,6 @@ def write_json(df: DataFrame, folder: str, by: str = "document_id", buckets: int
 
 def read_json(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """JSON with a fixed schema; rows that can't be parsed are left out."""
-    rows = spark.read.schema(schema + ", _corrupt_record string").option("mode", "PERMISSIVE").json(folder)
-    return rows.filter("_corrupt_record is null").drop("_corrupt_record")
+    lines = spark.read.text(folder)
+    parsed = F.from_json("value", schema + ", _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return lines.select(parsed.alias("x")).filter("x._corrupt_record is null").select("x.*").drop("_corrupt_record")
