@@ -37,6 +37,8 @@ HEADER_PAGES, TITLE_SHARE, TITLE_DOCS = 3, 0.02, 4
 HEADER_LETTERS = 6
 #: Letters of one word that the editor takes for others are fewer than these.
 EDITS = 3
+#: Longer runs of letters and digits are no words.
+LONGEST_WORD = 64
 #: How much more often the repaired word must occur.
 RATIO = 12
 
@@ -273,7 +275,7 @@ class Reader:
             made = word
             bare = word.rstrip("!|")  # an exclamation mark or a bar may follow
             n = self.lexicon(bare)
-            if len(bare) >= 4 and n < self.lexicon.usual and LETTER.search(bare) and (bare.isascii() or any(c in bare for c in "éèàçêôîûùâœñáíóúäöüß")):
+            if 4 <= len(bare) <= LONGEST_WORD and n < self.lexicon.usual and LETTER.search(bare) and (bare.isascii() or any(c in bare for c in "éèàçêôîûùâœñáíóúäöüß")):
                 edits, other = self.editor.read(bare, self.lexicon)
                 if edits and self.lexicon(other) >= RATIO * max(1, n):
                     made = other + word[len(bare) :]
@@ -284,7 +286,7 @@ class Reader:
 
     def unreadable(self, word: str) -> bool:
         """A digit or sign inside a long word whose printed form the corpus doesn't have."""
-        return len(word) >= 6 and bool(DIGIT_INSIDE.search(word)) and self.lexicon(word) < self.lexicon.usual
+        return 6 <= len(word) <= LONGEST_WORD and bool(DIGIT_INSIDE.search(word)) and self.lexicon(word) < self.lexicon.usual
 
     def joins(self, first: str, mark: str, rest: str) -> bool:
         """Whether a word was broken here. Words with a hyphen of their own have parts that occur alone."""
