@@ -19,7 +19,7 @@ CONTROL = r"[\p{Cc}\p{Cn}\p{Co}\p{Cs}&&[^\n\r\t]]"
 
 def count_of(text: Column, pattern: str) -> Column:
     """Characters of text that match a one-character pattern."""
-    return F.length(F.regexp_replace(text, rf"(?s)(?!{pattern.removeprefix('(?U)')}).".replace("(?s)", "(?sU)"), ""))
+    return F.regexp_count(text, F.lit(pattern))
 
 
 def most_frequent_char(text: Column) -> Column:
