@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -18,12 +18,11 @@ def hot_keys(df: DataFrame, key: str, share: int = 64) -> list:
     """
     if getattr(df, "_scratch_rows", HARMLESS + 1) <= HARMLESS:
         return []
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n")).limit(share).agg(F.collect_list(F.struct(key, "n")).alias("top"))
-    total = counts.agg(F.sum("n").alias("total"))
-    row = top.crossJoin(total).first()
-    least = max(HARMLESS, (row["total"] or 0) / share)
-    return [x[key] for x in row["top"] if x["n"] > least]
+    seen = Observation()
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).observe(seen, F.sum("n").alias("total"))
+    top = counts.orderBy(F.desc("n")).limit(share).collect()
+    least = max(HARMLESS, (seen.get["total"] or 0) / share) if top else 0
+    return [x[key] for x in top if x["n"] > least]
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot: list | None = None, salts: int = 32) -> DataFrame:
