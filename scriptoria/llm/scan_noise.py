@@ -337,7 +337,7 @@ def _lines(text: str) -> list[str]:
     return [s for s in text.split("\n") if s.strip()]
 
 
-def header_keys(pages: DataFrame) -> DataFrame:
+def header_keys(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(document_id, head): keys of the lines that return at top or bottom of HEADER_PAGES or more pages of a document.
 
     Lines that many documents have are section titles and content.
@@ -359,6 +359,7 @@ def header_keys(pages: DataFrame) -> DataFrame:
 
     rows = pages.select("document_id", F.col("page").cast("int"), "text").filter("document_id is not null and page is not null and text is not null")
     seen = rows.mapInArrow(edges, "document_id string, page int, head string").groupBy("document_id", "head").agg(F.countDistinct("page").alias("pages"))
+    seen = scratch.cut(seen, "edges")
     often = seen.groupBy("head").agg(F.count(F.lit(1)).alias("docs"))
     total = pages.agg(F.approx_count_distinct("document_id").alias("n")).first()["n"]
     titles = often.filter(F.col("docs") >= max(TITLE_DOCS, TITLE_SHARE * total)).select("head")
@@ -421,7 +422,7 @@ def scan_noise(pages: DataFrame, review: DataFrame, scratch: Scratch) -> DataFra
             yield pa.RecordBatch.from_pydict({"table_name": b.column("table_name"), "record_key": b.column("record_key"), "kinds": pa.array(kinds, pa.list_(pa.string()))})
 
     schema = "table_name string, record_key string, kinds array<string>"
-    heads = scratch.cut(header_keys(pages), "headers").select(F.lower("document_id").alias("d"), "head").distinct()
+    heads = scratch.cut(header_keys(pages, scratch), "headers").select(F.lower("document_id").alias("d"), "head").distinct()
     local = records.select("table_name", "record_key", "text").mapInArrow(judge, schema)
     own = salted_join(records.withColumn("d", F.lower("document_id")), heads, "d", hot=hot_keys(pages.select(F.lower("document_id").alias("d")), "d"))
     seen = local.unionByName(own.select("table_name", "record_key", "text", "head").mapInArrow(furniture, schema))
@@ -461,7 +462,7 @@ def repaired_texts(pages: DataFrame, review: DataFrame, scratch: Scratch) -> Dat
     records = _records(pages, review)
     editor, cells = fit_editor(records.select("text"))
     shared = pages.sparkSession.sparkContext.broadcast((editor, cells.astype(np.int32)))
-    heads = scratch.cut(header_keys(pages), "headers").groupBy(F.lower("document_id").alias("d")).agg(F.collect_set("head").alias("heads"))
+    heads = scratch.cut(header_keys(pages, scratch), "headers").groupBy(F.lower("document_id").alias("d")).agg(F.collect_set("head").alias("heads"))
     rows = salted_join(records.withColumn("d", F.lower("document_id")), heads, "d", "left", hot=hot_keys(pages.select(F.lower("document_id").alias("d")), "d"))
 
     def fix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
