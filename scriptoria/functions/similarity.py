@@ -16,16 +16,28 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def self_repeat_ratio(text: pd.Series) -> pd.Series:
-    """Ratio of a text's two halves, with white space collapsed; 0 below 40 characters and for null."""
+def self_repeat_ratio(least: float = 0.0):
+    """Ratio of a text's two halves, with white space collapsed; 0 below 40 characters, for null and below least.
+
+    The halves' characters bound the ratio from above; most texts are done with that.
+    """
 
     def one(t: str | None) -> float:
         s = " ".join((t or "").split())
         half = len(s) // 2
-        return SequenceMatcher(None, s[:half].strip().lower(), s[half:].strip().lower()).ratio() if len(s) >= 40 else 0.0
-
-    return pd.Series([one(t) for t in text], dtype="float64")
+        if len(s) < 40:
+            return 0.0
+        m = SequenceMatcher(None, s[:half].strip().lower(), s[half:].strip().lower())
+        if least and m.quick_ratio() < least:
+            return 0.0
+        r = m.ratio()
+        return r if r >= least else 0.0
+
+    @F.pandas_udf(T.DoubleType())
+    def measure(text: pd.Series) -> pd.Series:
+        return pd.Series([one(t) for t in text], dtype="float64")
+
+    return measure
 
 
 @F.pandas_udf(T.StringType())

@@ -25,10 +25,12 @@ def repeated_blocks(df: DataFrame, keys: list[str], text: str = "text", separato
     Blocks pair only within their own text, as array expressions: no row is ever joined. With least set the
     pairs of different blocks are compared by similarity in Arrow batches after the equal ones.
     """
-    blocks = F.filter(F.transform(F.split(text, separator), collapse), lambda b: F.length(b) >= min_chars)
-    rows = df.filter(F.col(text).isNotNull()).select(*keys, blocks.alias("b")).filter(F.size("b") >= 2)
+    long = F.filter(F.split(text, separator), lambda b: F.length(b) >= min_chars)
+    blocks = F.filter(F.transform(long, collapse), lambda b: F.length(b) >= min_chars)
+    rows = df.filter(F.col(text).isNotNull() & (F.length(text) >= 2 * min_chars)).select(*keys, blocks.alias("b")).filter(F.size("b") >= 2)
     numbered = F.transform("b", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
     if least is None:
+        rows = rows.filter(has_repeats(F.col("b")))
         firsts = F.transform(numbered, lambda p: F.struct((F.array_position(F.col("b"), p["x"]) - 1).cast("int").alias("i"), p["i"].alias("j")))
         hits = F.array_sort(F.filter(firsts, lambda p: p["i"] < p["j"]))
         return rows.withColumn("h", hits).filter(F.size("h") > 0).select(*keys, F.col("h")[0]["i"].alias("first_block"), F.col("h")[0]["j"].alias("second_block"))
@@ -53,7 +55,7 @@ def structural_flags(questions: DataFrame) -> DataFrame:
 
 def doubled_texts(questions: DataFrame, least: float = 0.85) -> DataFrame:
     """(question_id, repeat_ratio) of texts whose second half says the first again."""
-    return questions.select("question_id", self_repeat_ratio("question_text").alias("repeat_ratio")).filter(F.col("repeat_ratio") >= least).distinct()
+    return questions.select("question_id", self_repeat_ratio(least)("question_text").alias("repeat_ratio")).filter(F.col("repeat_ratio") >= least).distinct()
 
 
 def resolve_duplicates(questions: DataFrame, least: float = 0.85) -> DataFrame:

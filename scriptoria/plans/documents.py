@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scriptoria.functions import replies
 from scriptoria.operators import dedupe, keys, layouts, ledger, lines, quality
 from scriptoria.plans.registry import query
+from scriptoria.session import Scratch
 from scriptoria.sources import files
 from scriptoria.sources.tables import table
 
@@ -35,6 +36,16 @@ def lines_of(spark: SparkSession, d: str) -> DataFrame:
     return lines.mark_furniture(rows, lines.running_lines(rows))
 
 
+def section_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Content lines by section, written once, as several steps read them."""
+    return Scratch(spark, "sections").cut(lines.assign_sections(lines.content_lines(lines_of(spark, d))), "rows")
+
+
+def signatures_of(spark: SparkSession, d: str) -> DataFrame:
+    marked = Scratch(spark, "layouts").cut(lines_of(spark, d), "lines")
+    return Scratch(spark, "layouts").cut(layouts.signatures(layouts.layout_features(marked)), "signatures")
+
+
 def questions_once(spark: SparkSession, d: str) -> DataFrame:
     """The last export of every question."""
     rows = table(spark, d, "needs_review")
@@ -101,7 +112,7 @@ def sections(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def mcq_questions(spark: SparkSession, d: str) -> DataFrame:
     """Multiple-choice questions of all pages with their keys."""
-    rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
+    rows = section_rows(spark, d)
     records = lines.mcq_records(lines.chapter_groups(lines.question_blocks(rows)))
     attached, _ = keys.attach_keys(records, keys.page_key_tokens(rows))
     return attached.select("question_id", "document_id", "number", "question_text", F.size("options").alias("n_options"), "source_answer", F.array_join("anomalies", ";").alias("anomalies"))
@@ -109,26 +120,26 @@ def mcq_questions(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fill_in_questions(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
+    rows = section_rows(spark, d)
     return lines.fill_in_records(lines.question_blocks(rows)).select("question_id", "document_id", "number", "question_text", F.array_join(F.transform("pages", lambda p: p.cast("string")), ",").alias("pages"))
 
 
 @query()
 def matching_questions(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
+    rows = section_rows(spark, d)
     return lines.matching_records(lines.question_blocks(rows)).select("question_id", "document_id", "number", "question_text", F.size("pairs").alias("n_pairs"), F.array_join("anomalies", ";").alias("anomalies"))
 
 
 @query()
 def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
+    rows = section_rows(spark, d)
     records = lines.mcq_records(lines.chapter_groups(lines.question_blocks(rows)))
     return keys.attach_keys(records, keys.page_key_tokens(rows))[1]
 
 
 @query()
 def key_sequence_gaps(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
+    rows = section_rows(spark, d)
     return keys.sequence_gaps(keys.page_key_tokens(rows))
 
 
@@ -234,13 +245,13 @@ def anomaly_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def layout_signatures(spark: SparkSession, d: str) -> DataFrame:
-    return layouts.signatures(layouts.layout_features(lines_of(spark, d)))
+    return signatures_of(spark, d)
 
 
 @query()
 def layout_matches(spark: SparkSession, d: str) -> DataFrame:
     """Each document with the three most similar of the layouts that two or more documents have."""
-    sigs = layouts.signatures(layouts.layout_features(lines_of(spark, d)))
+    sigs = signatures_of(spark, d)
     return layouts.match_layouts(sigs, layouts.layout_classes(sigs).filter("documents >= 2"))
 
 

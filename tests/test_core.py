@@ -220,7 +220,7 @@ def test_blocks_copies_and_similarity(spark):
     assert set(one(dedupe.exact_copies(df.unionByName(df.selectExpr("i + 10 as i", "text")), "i", F.col("text")), "i", "keeper", "copies")) == {(k, k % 10, 2) for i in (1, 2, 4) for k in (i, i + 10)}
     pairs = spark.createDataFrame([("tide", "diet"), ("diet", "tide"), (None, "x")], "a string, b string")
     assert one(pairs.select(ratio("a", "b").alias("r")), "r") == [(0.25,), (0.5,), (None,)]
-    assert one(df.select(self_repeat_ratio(F.lit("one two three four five six seven " * 2)).alias("r")).limit(1), "r") == [(1.0,)]
+    assert one(df.select(self_repeat_ratio()(F.lit("one two three four five six seven " * 2)).alias("r")).limit(1), "r") == [(1.0,)]
     assert one(spark.createDataFrame([("ﬁｘ",), (None,)], "t string").select(nfkc("t").alias("t")), "t") == [("fix",), (None,)]
 
 
