@@ -25,6 +25,15 @@ t AS (SELECT document_id, count(DISTINCT page) AS doc_pages FROM l GROUP BY docu
 f AS (SELECT document_id, norm, count(DISTINCT page) AS n_pages, doc_pages FROM l JOIN t USING (document_id)
   WHERE length(norm) <= 60 AND norm <> '' GROUP BY document_id, norm, doc_pages HAVING count(DISTINCT page) >= 3 AND count(DISTINCT page) * 1000 >= doc_pages * 300)
 """
+#: Lines marked as furniture, as SQL: whether a key entry stands alone is told without looking behind.
+MARKED = r"""
+k AS (SELECT l.*, f.norm IS NOT NULL AS run,
+  regexp_full_match(text, '[\s|:\-.&,a-fA-F0-9)(]+') AND regexp_matches(text, '[0-9]') AND regexp_matches(text, '[a-fA-F]') AND regexp_matches(text, '(^|[^\p{L}\p{N}_])\d{1,3}\s*[-.):|]?\s*[a-fA-F](\s*[&,]\s*[a-fA-F])*($|[^\p{L}\p{N}_])')
+  OR regexp_full_match(text, '(?i)(correct\s+answer|answer|ans|key)\s*[:.\-=)]*\s*\(?[a-f](\s*[&,]\s*[a-f])*\)?\.?\s*') AS answer,
+  regexp_full_match(text, '\d{1,4}') OR regexp_full_match(text, '(?i)\d{1,4}\s*\|\s*p\s*a\s*g\s*e\.?') OR regexp_full_match(text, '`{3,}\w*') AS bare
+  FROM l LEFT JOIN f USING (document_id, norm)),
+m AS (SELECT *, bare OR (run AND NOT answer) AS furniture FROM k)
+"""
 
 
 def pages_once(spark: SparkSession, d: str) -> DataFrame:
@@ -72,7 +81,14 @@ def quality_reasons(spark: SparkSession, d: str) -> DataFrame:
     return quality.assess(pages_once(spark, d)).select("document_id", "page", "q_reason", "q_confidence")
 
 
-@query()
+@query(rf"""
+WITH p AS (SELECT document_id, page, any_value(text) AS text, any_value(extraction_method) AS extraction_method FROM page_extractions GROUP BY document_id, page), s AS (SELECT document_id, page, extraction_method, text IS NULL AS gone, {TRIM.format("coalesce(text, '')")} AS t FROM p),
+c AS (SELECT *, length(t) AS n, len(regexp_extract_all(t, '\x{{FFFD}}')) AS fffd, len(regexp_extract_all(t, '[\p{{Cc}}\p{{Co}}]')) - len(regexp_extract_all(t, '[\n\r\t]')) AS ctrl,
+  len(regexp_extract_all(t, '[^\p{{L}}\p{{N}}\s\p{{Z}}\x0b\x1c-\x1f\x85.,;:!?()\[\]{{}}''"\-_/\\%&+=<>*#@°ºµ±×÷√∞≈≠≤≥→←↔$€£¥|~^`]')) AS noise FROM s),
+m AS (SELECT document_id, page, max(k) AS most FROM (SELECT document_id, page, ch, count(*) AS k FROM (SELECT document_id, page, unnest(string_split(t, '')) AS ch FROM s) GROUP BY ALL) GROUP BY ALL)
+SELECT extraction_method, CASE WHEN gone THEN 'empty_extraction' WHEN n < 20 THEN 'too_short' WHEN fffd > 0.01 * n THEN 'replacement_chars' WHEN ctrl > 0.02 * n THEN 'control_chars' WHEN most > 0.4 * n THEN 'repeated_char_spam' WHEN noise > 0.15 * n THEN 'high_noise_ratio' ELSE 'clean' END AS verdict, count(*) AS pages
+FROM c LEFT JOIN m USING (document_id, page) GROUP BY ALL
+""")
 def quality_summary(spark: SparkSession, d: str) -> DataFrame:
     rows = quality.assess(pages_once(spark, d))
     return rows.groupBy("extraction_method", F.coalesce("q_kind", F.lit("clean")).alias("verdict")).agg(F.count(F.lit(1)).alias("pages"))
@@ -96,14 +112,22 @@ def furniture_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.running_lines(lines.explode_lines(pages_once(spark, d))).select("document_id", "norm", "n_pages", "doc_pages")
 
 
-@query()
+@query(f"WITH {LINES}, {RUNNING}, {MARKED} SELECT document_id, sum(CASE WHEN furniture THEN 0 ELSE 1 END)::BIGINT AS content, sum(CASE WHEN furniture THEN 1 ELSE 0 END)::BIGINT AS furniture FROM m GROUP BY document_id")
 def strip_furniture(spark: SparkSession, d: str) -> DataFrame:
     """Content lines by document and how many were taken out."""
     rows = lines_of(spark, d)
     return rows.groupBy("document_id").agg(F.sum((~F.col("furniture")).cast("bigint")).alias("content"), F.sum(F.col("furniture").cast("bigint")).alias("furniture"))
 
 
-@query()
+@query(rf"""
+WITH {LINES}, {RUNNING}, {MARKED},
+h AS (SELECT document_id, page, idx, text, CASE WHEN regexp_full_match(text, '(?i)m\.?\s*c\.?\s*q''?s?\.?') THEN 'mcq' WHEN regexp_full_match(text, '(?i)fill\s+in\s+the\s+blanks?') THEN 'fill_in_blank' WHEN regexp_full_match(text, '(?i)(cross[\s-]*)?matching') THEN 'matching' WHEN regexp_full_match(text, '(?i)model\s+answers?') THEN 'answer_key' END AS h,
+  regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AS stem, regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*') AS opt FROM m WHERE NOT furniture),
+w AS (SELECT *, count(h) OVER o AS section, last_value(h IGNORE NULLS) OVER o AS last, last_value(CASE WHEN h <> 'answer_key' THEN h END IGNORE NULLS) OVER o AS kind,
+  sum(CASE WHEN stem THEN 1 ELSE 0 END) OVER d AS stems, sum(CASE WHEN opt THEN 1 ELSE 0 END) OVER d AS opts, max(CASE WHEN h <> 'answer_key' THEN 1 ELSE 0 END) OVER d AS typed FROM h
+  WINDOW o AS (PARTITION BY document_id ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), d AS (PARTITION BY document_id))
+SELECT document_id, section, CASE WHEN kind IS NULL AND typed = 0 AND stems >= 5 AND opts >= 2 * stems THEN 'mcq' ELSE kind END AS kind, coalesce(last = 'answer_key', false) AS is_key, count(*) AS n_lines FROM w WHERE h IS NULL GROUP BY ALL
+""")
 def sections(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
     return rows.groupBy("document_id", "section", "kind", "is_key").agg(F.count(F.lit(1)).alias("n_lines"))
@@ -212,7 +236,11 @@ def manifest_latest(spark: SparkSession, d: str) -> DataFrame:
     return last.join(rows.groupBy("file_hash").agg(F.countDistinct("pipeline_version").alias("versions")), "file_hash")
 
 
-@query()
+@query("""
+WITH f AS (SELECT DISTINCT document_id, page, CASE WHEN extraction_method IN ('pending_vision', 'failed') THEN 'page_' || page || '_' || extraction_method WHEN is_garbled THEN 'page_' || page || '_garbled:' || coalesce(garbled_reason, '') WHEN confidence < 0.6 THEN 'page_' || page || '_low_confidence' END AS why FROM page_extractions),
+a AS (SELECT document_id, string_agg(why, ';' ORDER BY page, why) AS flags FROM f GROUP BY document_id)
+SELECT d.document_id, CASE WHEN a.document_id IS NULL THEN 'no_pages_extracted' ELSE coalesce(a.flags, '') END AS flags FROM (SELECT DISTINCT document_id FROM source_documents) d LEFT JOIN a ON a.document_id = d.document_id
+""")
 def document_flags(spark: SparkSession, d: str) -> DataFrame:
     out = quality.rollup_flags(table(spark, d, "page_extractions"), table(spark, d, "source_documents"))
     return out.select("document_id", F.array_join("flags", ";").alias("flags"))
