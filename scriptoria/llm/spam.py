@@ -1,10 +1,11 @@
 """Problem 10: pages of keywords, tags, product entries, menus and links.
 
-Each page's suffix automaton, over its words and marks, gives for every place the longest string ending
-there that occurs elsewhere in the page; the characters under such strings are its repeated coverage. A
-page is cut into units (lines and sentences). A unit is spam where clause structure is missing, that is,
-where it has next to no function words, and repeated coverage, links or a run of short listed entries
-take its place. A page is spam if more than half of its words lie in such units.
+Each page's suffix automaton, over its words, marks and line ends, gives for every place the longest string
+ending there that occurs elsewhere in the page; the letters and digits under such strings are its repeated
+coverage. A page is cut into units (lines and sentences). A unit is spam where clause structure is missing,
+that is, where it has next to no function words, and repeated coverage takes its place. Links and cells are
+read only to tell clauses: neither they nor lists make spam of what is said once. A page is spam if more
+than half of its words lie in such units.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ LINK = re.compile(r"https?://\S+|\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}/\S*", re.I)
 #: An answer key entry, an option or a numbered stem.
 KEY = re.compile(r"\b\d{1,3}\s*[-.:)]\s*[a-h]\b", re.I)
 LABEL = re.compile(r"\s*(?:[a-h]|\d{1,3})\s*[-.)·:]", re.I)
-SEPARATOR = re.compile(r"[,|>/#;•·»]|\s-\s")
+#: Share of a unit's letters and digits under repeated strings from which a unit without clauses is spam.
+COVERED = 0.15
+#: Share of function words that a clause has; more are needed beside a link. Words of a cell that holds no clause.
+CLAUSE, BESIDE_LINK, CELL = 0.1, 0.15, 6
 
 
 def repeated(tokens: list[str]) -> list[int]:
@@ -75,7 +79,7 @@ def repeated(tokens: list[str]) -> list[int]:
 
 
 def page_measures(text: str | None) -> tuple[int, int, float]:
-    """(words, words in spam units, share of characters in units without clauses under repeated strings).
+    """(words, words in spam units, share of letters and digits in units without clauses under repeated strings).
 
     A page all of whose units have clauses holds no spam whatever it repeats; its automaton would decide
     nothing and is left out.
@@ -90,14 +94,11 @@ def page_measures(text: str | None) -> tuple[int, int, float]:
         if not words:
             continue
         total += len(words)
-        verdict = _verdict(unit, words)
-        if verdict:
-            spam += len(words)
-        if verdict or verdict is None and len(words) >= 3:
-            open_units.append((k, -1 if verdict else len(words)))
+        if len(words) >= 3 and not _is_content(unit, words):
+            open_units.append((k, len(words)))
     if not open_units:
-        return total, spam, 0.0
-    pieces = [TOKEN.findall(unit) for unit in units]
+        return total, 0, 0.0
+    pieces = [[*TOKEN.findall(unit), "\n"] for unit in units]
     flat = [t for piece in pieces for t in piece]
     length = repeated(flat)
     covered = [False] * len(flat)
@@ -106,34 +107,33 @@ def page_measures(text: str | None) -> tuple[int, int, float]:
         if length[i] >= 2:
             reach = min(reach, i - length[i] + 1)
         covered[i] = reach <= i
+    size = [len(t) if t[0].isalnum() else 0 for t in flat]
     begin = [0]
     for piece in pieces:
         begin.append(begin[-1] + len(piece))
-    chars = sum(map(len, flat))
     under = 0
     for k, words in open_units:
         places = range(begin[k], begin[k + 1])
-        size, hit = sum(len(flat[i]) for i in places), sum(len(flat[i]) for i in places if covered[i])
+        hit = sum(size[i] for i in places if covered[i])
         under += hit
-        if words > 0 and hit >= 0.3 * size:
+        if hit >= COVERED * sum(size[i] for i in places):
             spam += words
-    return total, spam, under / chars
+    return total, spam, under / sum(size)
 
 
-def _verdict(unit: str, words: list[str]) -> bool | None:
-    """Spam by its links or listed entries: True; content: False; no clause, to be told by coverage: None."""
+def _is_content(unit: str, words: list[str]) -> bool:
+    """Whether the unit has clause structure or is an answer key entry, an option or a numbered stem.
+
+    A link has no words of a clause, nor has a short cell of a row with two or more bars.
+    """
+    least = CLAUSE
     if "/" in unit and LINK.search(unit):
-        rest = [t for t in TOKEN.findall(LINK.sub(" ", unit)) if t[0].isalnum()]
-        return not sum(t in FUNCTION_WORDS for t in rest) >= 0.15 * max(1, len(rest))
-    bars = unit.count("|")
-    if bars >= 2 and len(words) <= 6 * (bars + 1):
+        words, least = WORD.findall(LINK.sub(" ", unit)), BESIDE_LINK
+    elif unit.count("|") >= 2:
+        words = [w for cell in map(WORD.findall, unit.split("|")) if len(cell) > CELL for w in cell]
+    elif not unit.isascii() or LABEL.match(unit) or len(KEY.findall(unit)) * 2 >= 0.7 * len(words):
         return True
-    if sum(map(FUNCTION_WORDS.__contains__, words)) >= 0.1 * len(words) or not unit.isascii():
-        return False
-    if LABEL.match(unit) or len(KEY.findall(unit)) * 2 >= 0.7 * len(words):
-        return False
-    entries = len(SEPARATOR.findall(unit)) + 1
-    return True if entries >= 4 and len(words) <= 4 * entries else None
+    return bool(words) and sum(map(FUNCTION_WORDS.__contains__, words)) >= least * len(words)
 
 
 def spam_pages(docs: DataFrame, doc_id: str = "doc_id", share: float = 0.5) -> DataFrame:

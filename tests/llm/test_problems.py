@@ -363,6 +363,19 @@ def test_spam(text, is_spam):
     assert (spam_words > 0.5 * words_) == is_spam
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Fever, cough, headache, nausea, vomiting, chills, fatigue, rash",
+        "Aspirin | 300 mg | oral\nHeparin | 5000 units | subcutaneous\nInsulin | 10 drops | nasal",
+        "Smith, Nerves; Jones, Vessels; Brown, Joints, see https://library.example/anatomy",
+    ],
+)
+def test_lists_that_repeat_nothing_are_no_spam(text):
+    assert spam.page_measures(text)[1] == 0
+    assert spam.page_measures(f"{text}\n{text}")[1] > 0
+
+
 def test_spam_pages_takes_nulls_and_clashes(spark):
     rows = [(1, None, True), (None, "x", True), (2, "free notes, " * 50, False), (2, "free notes, " * 50, False)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, is_spam boolean")
