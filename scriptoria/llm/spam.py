@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 from scriptoria.llm.arrow import WORD
 
 #: Function words of the five languages of the corpus, lower-cased.
-FUNCTION_WORDS = frozenset(
-    "a an and are as at by during for from in into is it of on one or that the to when while with each which what following "
-    "au aux ce cet cette chaque de des du d en est et l la le les où par plus pour qui sous sur un une vers à après dès près "
-    "al cada como con del desde el en es esta este hasta las los más no para por que se según sin sobre su tras una y "
-    "aus bei beim das dem den der des die ein eine einem einen einer im ist jede jeder jedes mit nach neben sich über und unter von vor während zu zum zur "
-    "في من على عند بعد عن إلى الى هسذ".split()
+LANGUAGES = (
+    "a an and are as at by during for from in into is it of on one or that the to when while with each which what following",
+    "a au aux ce cet cette chaque de des du d en est et l la le les où par plus pour qui sous sur un une vers à après dès près",
+    "al cada como con del de desde el en es esta este hasta la las los más no para por que se según sin sobre su tras un una y a",
+    "an aus bei beim das dem den der des die ein eine einem einen einer im in ist jede jeder jedes mit nach neben sich über und unter von vor während zu zum zur",
+    "في من على عند بعد عن إلى الى هسذ و أو ثم لا ما هذا هذه ذلك التي الذي كل أن إن مع بين قبل تحت فوق خلال هو هي كما",
 )
+#: Bit of every language that has the word.
+FUNCTION_WORDS = {w: sum(1 << k for k, words in enumerate(LANGUAGES) if w in words.split()) for words in LANGUAGES for w in words.split()}
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 #: Units end at line ends and after sentence marks.
@@ -37,6 +39,8 @@ KEY = re.compile(r"\b\d{1,3}\s*[-.:)]\s*[a-h]\b", re.I)
 LABEL = re.compile(r"\s*(?:[a-h]|\d{1,3})\s*[-.)·:]", re.I)
 #: Share of a unit's letters and digits under repeated strings from which a unit without clauses is spam.
 COVERED = 0.15
+#: Places within which a string of two counts as repeated; further apart, two words meet again by chance.
+NEAR = 1000
 #: Share of function words that a clause has; more are needed beside a link. Words of a cell that holds no clause.
 CLAUSE, BESIDE_LINK, CELL = 0.1, 0.15, 6
 
@@ -94,13 +98,16 @@ def page_measures(text: str | None) -> tuple[int, int, float]:
         if not words:
             continue
         total += len(words)
-        if len(words) >= 3 and not _is_content(unit, words):
+        if not _is_content(unit, words):
             open_units.append((k, len(words)))
     if not open_units:
         return total, 0, 0.0
     pieces = [[*TOKEN.findall(unit), "\n"] for unit in units]
     flat = [t for piece in pieces for t in piece]
     length = repeated(flat)
+    if len(flat) > NEAR:
+        near = _near_pairs(flat)
+        length = [0 if n == 2 and i not in near else n for i, n in enumerate(length)]
     covered = [False] * len(flat)
     reach = len(flat)
     for i in range(len(flat) - 1, -1, -1):  # from the end: a place is covered by the earliest begin seen so far
@@ -121,8 +128,19 @@ def page_measures(text: str | None) -> tuple[int, int, float]:
     return total, spam, under / sum(size)
 
 
+def _near_pairs(tokens: list[str]) -> set[int]:
+    """Places where two tokens end that occur again within NEAR places, before or after."""
+    last: dict[tuple[str, str], int] = {}
+    out: set[int] = set()
+    for i, pair in enumerate(zip(tokens, tokens[1:]), 1):
+        if i - last.get(pair, -NEAR - 1) <= NEAR:
+            out |= {i, last[pair]}
+        last[pair] = i
+    return out
+
+
 def _is_content(unit: str, words: list[str]) -> bool:
-    """Whether the unit has clause structure or is an answer key entry, an option or a numbered stem.
+    """Whether the unit has clause structure or is an answer key entry, an option, numbers or a numbered stem.
 
     A link has no words of a clause, nor has a short cell of a row with two or more bars.
     """
@@ -131,9 +149,15 @@ def _is_content(unit: str, words: list[str]) -> bool:
         words, least = WORD.findall(LINK.sub(" ", unit)), BESIDE_LINK
     elif unit.count("|") >= 2:
         words = [w for cell in map(WORD.findall, unit.split("|")) if len(cell) > CELL for w in cell]
-    elif not unit.isascii() or LABEL.match(unit) or len(KEY.findall(unit)) * 2 >= 0.7 * len(words):
+    elif LABEL.match(unit) or all(len(w) < 2 or w.isdecimal() for w in words) or len(KEY.findall(unit)) * 2 >= 0.7 * len(words):
         return True
-    return bool(words) and sum(map(FUNCTION_WORDS.__contains__, words)) >= least * len(words)
+    return bool(words) and _function_words(words) >= least * len(words)
+
+
+def _function_words(words: list[str]) -> int:
+    """Function words of the language that has most of them here."""
+    bits = [n for n in map(FUNCTION_WORDS.get, words) if n]
+    return max(sum(n >> k & 1 for n in bits) for k in range(len(LANGUAGES))) if bits else 0
 
 
 def spam_pages(docs: DataFrame, doc_id: str = "doc_id", share: float = 0.5) -> DataFrame:

@@ -376,6 +376,36 @@ def test_lists_that_repeat_nothing_are_no_spam(text):
     assert spam.page_measures(f"{text}\n{text}")[1] > 0
 
 
+@pytest.mark.parametrize(
+    ("text", "is_spam"),
+    [
+        ("تحميل ملخص، مراجعة مجانية، تحميل ملخص، اختبار محلول، مراجعة مجانية، تحميل ملخص، اختبار محلول", True),
+        ("leçon pdf, résumé gratuit, leçon pdf, télécharger médecine, résumé gratuit, leçon pdf", True),
+        ("Prüfung • Lösung • Prüfung • Skript • Prüfung • Lösung • Prüfung • Skript", True),
+        ("Home\nProducts\nLogin\n" * 3, True),
+        ("pdf\nnotes\nexam\npdf\nexam\nnotes\npdf\nexam\n" * 2, True),
+        ("a\nb\nc\na\nb\nd\na\n" * 3, False),
+        ("12\n14\n12\n14\n" * 3, False),
+        ("Fièvre\nToux\nNausée\nCéphalée\nÉruption", False),
+        ("تقع العضلة على السطح الداخلي من العظم. يمر العصب من خلال القناة في الجدار.\n" * 3, False),
+        ("La fièvre dépend de la lésion profonde. Une artère traverse la paroi près de la crête.\n" * 3, False),
+    ],
+)
+def test_spam_of_every_language_and_of_short_lines(text, is_spam):
+    words_, spam_words, _ = spam.page_measures(text)
+    assert (spam_words > 0.5 * words_) == is_spam
+
+
+def test_long_texts_do_not_repeat_by_chance():
+    rng = random.Random(13)
+    letters = [f"{a}{b}{c}" for a in "ابتثج" for b in "حخدذرزس" for c in "شصضطظعغفقك"]
+    text = "\n".join(" ".join(rng.choice(letters) for _ in range(7)) for _ in range(1200))
+    words_, spam_words, _ = spam.page_measures(text)
+    assert spam_words <= 0.5 * words_
+    words_, spam_words, _ = spam.page_measures(text + "\n" + text)
+    assert spam_words > 0.5 * words_
+
+
 def test_spam_pages_takes_nulls_and_clashes(spark):
     rows = [(1, None, True), (None, "x", True), (2, "free notes, " * 50, False), (2, "free notes, " * 50, False)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, is_spam boolean")
