@@ -13,6 +13,7 @@ import random
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 from itertools import combinations
 
 import numpy as np
@@ -60,6 +61,11 @@ PAGE_LINE = re.compile(
     re.I,
 )
 EDGE_NUMBER = re.compile(r"^\W*(?:p(?:age|\.)\s*)?\d{1,4}\s+(?=\S)|(?<=\S)\s+\W*(?:p(?:age|\.)\s*)?\d{1,4}\W*$", re.I)
+#: Beside a header inside a text: the rest of a word, the next words, a page number.
+WORD_END, WORD_BEGIN = re.compile(r"[\w@|!$]*\Z"), re.compile(r"[\w@|!$]*")
+LAST_WORD, NEXT_WORD = re.compile(r"([\w@|!$]+)\s+\Z"), re.compile(r"\s+([\w@|!$]+)")
+NUMBER_BEFORE = re.compile(r"(?:(?:^|(?<=\n))\W*(?:p(?:age|\.)\s*)?\d{1,4}|\bp(?:age|\.)\s*\d{1,4})[ \t]+(?:[|·–—-][ \t]*)?\Z", re.I)
+NUMBER_AFTER = re.compile(r"[ \t]+(?:[|·–—-][ \t]*)?(?:(?:p(?:age|\.)\s*)\d{1,4}\b|\d{1,4}[ \t]*(?=\n|\Z))", re.I)
 LABEL = re.compile(r"\s*(?:[a-h]|\d{1,3})\s?[-.):·]\s*\S", re.I)
 LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl"}
 LIGATURE = re.compile("[ﬀ-ﬄ]")
@@ -261,12 +267,28 @@ class _Flags(dict):
         return n
 
 
+class _Printed(dict):
+    """The word as printed, in its own letter case, by word."""
+
+    def __init__(self, reader: Reader):
+        self.reader = reader
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 400_000:
+            self.clear()
+        low = word.lower()
+        made = self.reader.word(low)
+        made = word if made == low else made.upper() if word.isupper() else made[:1].upper() + made[1:] if word[0].isupper() else made
+        self[word] = made
+        return made
+
+
 class Reader:
     """What an executor needs to judge texts; words are judged once and kept."""
 
     def __init__(self, editor: Editor, lexicon: Lexicon):
         self.editor, self.lexicon, self.kept = editor, lexicon, {}
-        self.flags = _Flags(self)
+        self.flags, self.printed = _Flags(self), _Printed(self)
 
     def word(self, word: str) -> str:
         """The word as printed: itself unless the editor reads another that occurs RATIO times as often."""
@@ -324,6 +346,54 @@ def line_key(line: str) -> tuple[str, bool]:
     return fold(plain), plain != line
 
 
+def silent_sides(line: str) -> str:
+    """The words before and after the first and last one that fold to something, with a tab between."""
+    words = EDGE_NUMBER.sub("", line).lower().split()
+    loud = [i for i, w in enumerate(words) if fold(w)]
+    return " ".join(words[: loud[0]]) + "\t" + " ".join(words[loud[-1] + 1 :]) if loud else "\t"
+
+
+def _alike(a: str, b: str) -> bool:
+    return not fold(a) and SequenceMatcher(None, a.lower(), b).ratio() >= 0.6
+
+
+def cut_headers(text: str, headers: dict[str, str]) -> str:
+    """The text without every span that folds to a header's key, and without a page number beside it.
+
+    headers: silent_sides by key. A span is widened to whole words and to the header's silent words at its
+    sides, which fold to nothing. A bare number is a page number only between the header and the line's end.
+    """
+    whole = fold(text)
+    for head in sorted((h for h in headers if h in whole), key=lambda h: (-len(h), h)):
+        while True:
+            keys = [fold(c) for c in text]
+            place = [i for i, k in enumerate(keys) for _ in k]
+            at = "".join(keys).find(head)
+            if at < 0:
+                break
+            begin, end = place[at], place[at + len(head) - 1] + 1
+            begin -= len(WORD_END.search(text[:begin])[0])
+            end += len(WORD_BEGIN.match(text, end)[0])
+            before, after = headers[head].split("\t")
+            for word in reversed(before.split()):
+                m = LAST_WORD.search(text[:begin])
+                if m and _alike(m[1], word):
+                    begin = m.start(1)
+            for word in after.split():
+                m = NEXT_WORD.match(text, end)
+                if m and _alike(m[1], word):
+                    end = m.end(1)
+            if m := NUMBER_BEFORE.search(text[:begin]):
+                begin = m.start()
+            if m := NUMBER_AFTER.match(text, end):
+                end = m.end()
+            left, right = text[:begin].rstrip(" \t"), text[end:].lstrip(" \t")
+            if (not left or left[-1] == "\n") and right[:1] == "\n":
+                right = right[1:]
+            text = left + ("" if not left or not right or "\n" in (left[-1], right[0]) else " ") + right
+    return text
+
+
 def _is_page_line(line: str, edge: bool) -> bool:
     s = line.strip()
     if len(s) > 24:
@@ -338,14 +408,14 @@ def _lines(text: str) -> list[str]:
 
 
 def header_keys(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(document_id, head): keys of the lines that return at top or bottom of HEADER_PAGES or more pages of a document.
+    """(document_id, head, sides): keys and silent sides of the lines that return at top or bottom of HEADER_PAGES or more pages of a document.
 
     Lines that many documents have are section titles and content.
     """
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            doc, page, key = [], [], []
+            doc, page, key, sides = [], [], [], []
             for d, p, t in zip(b.column("document_id").to_pylist(), b.column("page").to_pylist(), b.column("text").to_pylist()):
                 lines = _lines(t or "")
                 for s in dict.fromkeys(lines[:2] + lines[-2:]):
@@ -355,15 +425,16 @@ def header_keys(pages: DataFrame, scratch: Scratch) -> DataFrame:
                             doc.append(d)
                             page.append(p)
                             key.append(k)
-            yield pa.RecordBatch.from_pydict({"document_id": pa.array(doc, pa.string()), "page": pa.array(page, pa.int32()), "head": pa.array(key, pa.string())})
+                            sides.append(silent_sides(s))
+            yield pa.RecordBatch.from_pydict({"document_id": pa.array(doc, pa.string()), "page": pa.array(page, pa.int32()), "head": pa.array(key, pa.string()), "sides": pa.array(sides, pa.string())})
 
     rows = pages.select("document_id", F.col("page").cast("int"), "text").filter("document_id is not null and page is not null and text is not null")
-    seen = rows.mapInArrow(edges, "document_id string, page int, head string").groupBy("document_id", "head").agg(F.countDistinct("page").alias("pages"))
+    seen = rows.mapInArrow(edges, "document_id string, page int, head string, sides string").groupBy("document_id", "head").agg(F.countDistinct("page").alias("pages"), F.max("sides").alias("sides"))
     seen = scratch.cut(seen, "edges")
     often = seen.groupBy("head").agg(F.count(F.lit(1)).alias("docs"))
     total = pages.agg(F.approx_count_distinct("document_id").alias("n")).first()["n"]
     titles = often.filter(F.col("docs") >= max(TITLE_DOCS, TITLE_SHARE * total)).select("head")
-    return seen.filter(F.col("pages") >= HEADER_PAGES).select("document_id", "head").join(titles, "head", "left_anti")
+    return seen.filter(F.col("pages") >= HEADER_PAGES).select("document_id", "head", "sides").join(titles, "head", "left_anti")
 
 
 def fit_editor(texts: DataFrame) -> tuple[Editor, np.ndarray]:
@@ -429,27 +500,25 @@ def scan_noise(pages: DataFrame, review: DataFrame, scratch: Scratch) -> DataFra
     return seen.select("table_name", "record_key", F.explode("kinds").alias("noise_kind")).distinct()
 
 
-def repair_text(text: str | None, headers: set[str], reader: Reader, page: bool = True) -> str | None:
-    """Continuous paragraphs: furniture out, broken words joined, misread words as printed, lines of a paragraph joined."""
+def repair_text(text: str | None, headers: dict[str, str], reader: Reader, page: bool = True) -> str | None:
+    """Continuous paragraphs: furniture out, on lines of its own and inside lines, broken words joined, misread words as printed, lines of a paragraph joined."""
     if not text:
         return text
+    whole = fold(text) if headers else ""
+    headers = {h: sides for h, sides in headers.items() if h in whole}
     rows = text.split("\n")
     filled = [i for i, s in enumerate(rows) if s.strip()]
     edge = set(filled[:2] + filled[-2:]) if page else set(filled)
     kept = []
     for i, s in enumerate(rows):
-        if s.strip() and (_is_page_line(s, i in edge) and (page or len(filled) > 1) or line_key(s)[0] in headers):
+        if s.strip() and (_is_page_line(s, i in edge) and (page or len(filled) > 1) or headers and line_key(s)[0] in headers):
             continue
         kept.append(s.strip())
-    out = reader.join(_plain("\n".join(kept)))
-
-    def fix(m: re.Match) -> str:
-        low = m[0].lower()
-        made = reader.word(low)
-        return m[0] if made == low else made.upper() if m[0].isupper() else made[:1].upper() + made[1:] if m[0][0].isupper() else made
+    joined = "\n".join(kept)
+    out = reader.join(_plain(cut_headers(joined, headers) if headers else joined))
 
     paragraphs: list[str] = []
-    for s in TOKEN.sub(fix, out).split("\n"):
+    for s in TOKEN.sub(lambda m: reader.printed[m[0]], out).split("\n"):
         if not s or not paragraphs or not paragraphs[-1] or LABEL.match(s):
             paragraphs.append(s)
         else:
@@ -462,14 +531,14 @@ def repaired_texts(pages: DataFrame, review: DataFrame, scratch: Scratch) -> Dat
     records = _records(pages, review)
     editor, cells = fit_editor(records.select("text"))
     shared = pages.sparkSession.sparkContext.broadcast((editor, cells.astype(np.int32)))
-    heads = scratch.cut(header_keys(pages, scratch), "headers").groupBy(F.lower("document_id").alias("d")).agg(F.collect_set("head").alias("heads"))
+    heads = scratch.cut(header_keys(pages, scratch), "headers").groupBy(F.lower("document_id").alias("d")).agg(F.collect_set(F.struct("head", "sides")).alias("heads"))
     rows = salted_join(records.withColumn("d", F.lower("document_id")), heads, "d", "left", hot=hot_keys(pages.select(F.lower("document_id").alias("d")), "d"))
 
     def fix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         editor, cells = shared.value
         reader = Reader(editor, Lexicon(cells))
         for b in batches:
-            done = [repair_text(t, set(h or ()), reader, n == "page_extractions") for t, h, n in zip(b.column("text").to_pylist(), b.column("heads").to_pylist(), b.column("table_name").to_pylist())]
+            done = [repair_text(t, {x["head"]: x["sides"] for x in h or ()}, reader, n == "page_extractions") for t, h, n in zip(b.column("text").to_pylist(), b.column("heads").to_pylist(), b.column("table_name").to_pylist())]
             yield pa.RecordBatch.from_pydict({"table_name": b.column("table_name"), "record_key": b.column("record_key"), "repaired_text": pa.array(done, pa.string())})
 
     return rows.select("table_name", "record_key", "text", "heads").mapInArrow(fix, "table_name string, record_key string, repaired_text string").distinct()

@@ -199,6 +199,26 @@ def test_scan_noise_finds_furniture_and_takes_nulls(spark):
     assert scan_noise.scan_noise(p.limit(0), q.limit(0), Scratch(spark, "t6")).count() == 0
 
 
+def test_repaired_texts_hold_no_header_that_was_found(spark):
+    pages = [("D1", i, f"Review of Gavusine Branch {i + 3}\nsome page text of number {chr(97 + i) * 5}\nmore of it\n- {i + 3} -") for i in range(5)]
+    review = [
+        ("q1", " d1", "The smooth Review of Gavusine Branch groove limits what?"),
+        ("q2", "D1", "The wall\nREVIEW OF GAVUSINE BRANCH is covered by 3 of\n- 7 -\nwhat at 37 degrees?"),
+        ("q3", "D1", "Which wall is Revicw  of Gavus1ne Branch 12\nthe first?"),
+        ("q4", "D1", "Review of Gavusine Branch"),
+        ("q5", "D1", "Review of what?"),
+    ]
+    p = spark.createDataFrame(pages, "document_id string, page int, text string")
+    q = spark.createDataFrame(review, "question_id string, document_id string, question_text string")
+    found = {r.record_key for r in scan_noise.scan_noise(p, q, Scratch(spark, "t6")).collect() if r.noise_kind == "header"}
+    got = {r.record_key: r.repaired_text for r in scan_noise.repaired_texts(p, q, Scratch(spark, "t6r")).collect()}
+    head = scan_noise.line_key("Review of Gavusine Branch")[0]
+    assert found == set(got) - {"q5"} and not any(head in scan_noise.fold(t) for t in got.values())
+    assert {k: t for k, t in got.items() if k[0] == "q"} == {
+        "q1": "The smooth groove limits what?", "q2": "The wall is covered by 3 of what at 37 degrees?", "q3": "Which wall is the first?", "q4": "", "q5": "Review of what?",
+    }
+
+
 # problem 7
 
 RIGHT = ["La fièvre à côté de la crête s'élève “ici”.", "Der Fuß führt über die Öffnung, mäßig – größer.", "Un niño pequeño más allá de la lesión", "ثقب الطرف على عند القطخ", "37 °C ±2 µm"]
