@@ -343,6 +343,27 @@ def test_leaks_with_edits(spark):
     assert [(r.doc_id, r.item_id) for r in leaks.leaked_items(a, b, edits=2).collect()] == [(1, 5)]
 
 
+def test_leaks_with_edits_at_every_word():
+    rng = random.Random(14)
+    long, short = sentence(rng, 12).split(), "a b c d e f g h i j k l".split()
+    changes = {"first": lambda w: "ß" + w[1:], "last": lambda w: w[:-1] + "ß", "more": lambda w: w + "ß", "less": lambda w: w[1:] or "ß"}
+    for item in (long, short):
+        indexes = leaks.build_indexes([(5, " ".join(item))], 2)
+        for one in range(12):
+            for two in range(one, 12):
+                for change in changes.values():
+                    w = list(item)
+                    for k in {one, two}:
+                        w[k] = change(w[k])
+                    t = leaks._norm(f"before {' '.join(w)} after")
+                    codes = leaks._codes(t)
+                    found = [n for x in indexes for _, _, n in leaks.find_leaks(codes, np.zeros(len(t), np.int32), np.array([0, len(t)]), x, 2)]
+                    assert found == [12], (w, found)
+        w = [changes["first"](x) if k in (1, 5, 9) else x for k, x in enumerate(item)]
+        t = leaks._norm(" ".join(w))
+        assert not [n for x in indexes for n in leaks.find_leaks(leaks._codes(t), np.zeros(len(t), np.int32), np.array([0, len(t)]), x, 2)]
+
+
 # problem 10
 
 
