@@ -16,6 +16,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repeating_records(table(spark, d, "needs_review"))
 
 
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The share of repeated content of every question_id."""
+    return repetition.repeated_shares(table(spark, d, "needs_review"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.duplicate_groups(table(spark, d, "needs_review"), Scratch(spark, "p3"))
 
@@ -63,7 +68,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [p1_found, p3_found, p4_found, p4_classes, p6_found, p6_repaired, p7_found, p7_restored, p8_packing, p9_found, p9_with_edits, p10_found]
+    made = [p1_found, p1_shares, p3_found, p4_found, p4_classes, p6_found, p6_repaired, p7_found, p7_restored, p8_packing, p9_found, p9_with_edits, p10_found]
     return {f.__name__: f for f in made}
 
 

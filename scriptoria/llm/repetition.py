@@ -2,9 +2,10 @@
 
 A logistic regression over hashed word and character n-grams scores every record; n-grams that occurred
 before in the same text have buckets of their own. It is trained on a bounded sample of the rows, labelled
-by the rule itself, and its scores are calibrated to probabilities on the sample's other half. Records at or
-above a fixed probability are then measured exactly. Weights are bounded so that the least record that
-meets the rule lies above the threshold whatever its other n-grams: the scoring loses nothing.
+by the rule itself, and its scores are calibrated to probabilities on the sample's other half. The share is
+measured exactly for every record; records at or above a fixed probability are candidates of the rule.
+Weights are bounded so that the least record that meets the rule lies above the threshold whatever its other
+n-grams: the scoring loses nothing.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptoria.llm.arrow import WORD, WordHash, runs
+from scriptoria.llm.arrow import WORD, WordHash, runs, word_arrays
 
 #: The rule: words of a run, least words of a text, least share.
 RUN, LEAST_WORDS, SHARE = 5, 10, 0.3
@@ -26,7 +27,7 @@ RUN, LEAST_WORDS, SHARE = 5, 10, 0.3
 SAMPLE_ROWS = 4000
 #: Buckets of n-grams and of repeated n-grams.
 PLAIN, AGAIN = 1 << 14, 1 << 10
-#: Fixed probability from which a record is measured exactly.
+#: Fixed probability from which a record is a candidate of the rule.
 THRESHOLD = 0.1
 #: Bounds of the weights: of plain n-grams in all, of repeated ones each, of a repeated option label.
 PLAIN_MOST, AGAIN_LEAST, LABEL_LEAST = 1.0, 100.0, 8.0
@@ -185,8 +186,7 @@ def fit_model(rows: DataFrame, id_col: str, text_col: str) -> Model:
 def measure_repetition(rows: DataFrame, model: Model | None = None, id_col: str = "question_id", text_col: str = "question_text") -> DataFrame:
     """(question_id, probability, repeated_share, label_repeated), one row per input row.
 
-    repeated_share and label_repeated are exact where the probability reaches THRESHOLD and 0 and false
-    below it, where the bound on the score excludes a record that meets the rule. A null text has no
+    repeated_share and label_repeated are exact for every row, whatever its probability. A null text has no
     words; null options and null labels repeat nothing.
     """
     shared = rows.sparkSession.sparkContext.broadcast(model or fit_model(rows, id_col, text_col))
@@ -197,19 +197,28 @@ def measure_repetition(rows: DataFrame, model: Model | None = None, id_col: str
             texts, labels = b.column("text").to_pylist(), b.column("labels").to_pylist()
             x, word, counts = features(texts, labels, cache)
             p = shared.value.score(x)
-            keep = p >= THRESHOLD
-            some = np.flatnonzero(keep)
-            share, label = np.zeros(len(texts)), np.zeros(len(texts), bool)
-            inside = np.repeat(keep, counts)
-            share[some] = repeated_share(word[inside], counts[some])
-            label[some] = [repeats_label(labels[i]) for i in some]
+            share, label = repeated_share(word, counts), np.array([repeats_label(v) for v in labels], bool)
             yield pa.RecordBatch.from_pydict({"question_id": b.column("id"), "probability": pa.array(p), "repeated_share": pa.array(share), "label_repeated": pa.array(label)})
 
     source = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("options.label").alias("labels"))
     return source.mapInArrow(score, f"question_id {dict(rows.dtypes)[id_col]}, probability double, repeated_share double, label_repeated boolean")
 
 
+def repeated_shares(rows: DataFrame) -> DataFrame:
+    """(question_id, repeated_share), distinct: the share of every question_id, one row for each of its texts'
+    shares. Short and null texts have the share 0; null ids have no row."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHash()
+        for b in batches:
+            share = repeated_share(*word_arrays(b.column("question_text").to_pylist(), cache))
+            yield pa.RecordBatch.from_pydict({"question_id": b.column("question_id"), "repeated_share": pa.array(share, pa.float64())})
+
+    source = rows.filter("question_id is not null").select("question_id", "question_text")
+    return source.mapInArrow(measure, f"question_id {dict(rows.dtypes)['question_id']}, repeated_share double").distinct()
+
+
 def repeating_records(rows: DataFrame) -> DataFrame:
     """(question_id) of records with a repeated share of SHARE or more, or a repeated option label; distinct."""
-    found = measure_repetition(rows).filter((F.col("repeated_share") >= SHARE) | F.col("label_repeated"))
+    found = measure_repetition(rows).filter(F.col("probability") >= THRESHOLD).filter((F.col("repeated_share") >= SHARE) | F.col("label_repeated"))
     return found.filter("question_id is not null").select("question_id").distinct()

@@ -55,6 +55,19 @@ def test_repetition_agrees_with_brute_force(spark):
     assert got == {q for q, t, o, _ in rows if q is not None and brute_repeats(t, [x for x, _ in o or []])}
 
 
+def test_shares_of_all_records(spark):
+    run = "one two three four five"
+    rows = [(f"q{i}", f"{run} {' '.join(WORDS[:n])} {run}", None, 0) for i, n in enumerate((0, 10, 40, 390))]
+    rows += [("none", " ".join(WORDS), None, 0), ("short", "x y x y x", None, 0), ("null", None, None, 0), (None, f"{run} {run}", None, 0)]
+    df = spark.createDataFrame([*rows, rows[0]], TEXTS)
+    expected = {"q0": 0.5, "q1": 0.25, "q2": 0.1, "q3": 0.0125, "none": 0.0, "short": 0.0, "null": 0.0}
+    shares = repetition.repeated_shares(df).collect()
+    assert len(shares) == len(expected) and {r.question_id: r.repeated_share for r in shares} == pytest.approx(expected)
+    model = repetition.Model(np.zeros(repetition.PLAIN + repetition.AGAIN + 1), -30.0, 1.0, 0.0)  # every record below the threshold
+    assert {r.question_id: r.repeated_share for r in repetition.measure_repetition(df.filter("question_id is not null"), model).collect()} == pytest.approx(expected)
+    assert {r.question_id for r in repetition.repeating_records(df).collect()} == {"q0"}
+
+
 def test_repetition_of_an_empty_table(spark):
     assert repetition.repeating_records(spark.createDataFrame([], TEXTS)).count() == 0
 
