@@ -403,6 +403,9 @@ CONTENT = "The primary ridge of the lobe depends on the plexus. A wall is covere
         (CONTENT * 12 + "Tags: free notes, exam pack, best pdf, free app", False),
         ("\n".join(f"https://site{i}.example/free-{i}?id={i}" for i in range(30)), True),
         ("\n".join(f"See http://site{i}.example/a for the wall of the lobe in the sheath." for i in range(8)), False),
+        ("\n".join(f'<a href="http://site{i % 7}.example/exam-{i}">{("lobe", "wall", "duct")[i % 3]} notes</a>' for i in range(30)), True),
+        ("\n".join(f'<a href="http://site{i}.example/{i}">The wall of the lobe is covered by the sheath</a>' for i in range(8)), False),
+        ("\n".join(f"<p>The wall of the lobe is joined by <b>one sheath</b> with the duct {i}.</p>" for i in range(8)), False),
         (" > ".join(f"Shop word{i}" for i in range(40)), True),
         ("\n".join(f"Pack {i} cards | A5 | {i}.99 | in stock" for i in range(20)), True),
         (" ".join(f"Best lobe {a} {b}." for a in ("free", "cheap", "exam") for b in ("pdf", "app", "free", "exam", "pack")), True),
@@ -460,6 +463,19 @@ def test_long_texts_do_not_repeat_by_chance():
     assert spam_words > 0.5 * words_
 
 
+def test_function_words_come_from_the_corpus(spark):
+    rng = random.Random(14)
+    nouns, glue = [f"no{i}me" for i in range(300)], ["della", "alla", "che", "nel"]
+    page = lambda: ". ".join(" ".join(f"{rng.choice(nouns)} {rng.choice(glue)}" for _ in range(5)) for _ in range(12)) + "."
+    pages = [page() for _ in range(300)]
+    pile = ", ".join(rng.choice(nouns[:12]) for _ in range(200))
+    said = pages[0] * 3
+    docs = [(i, t, "it") for i, t in enumerate(pages)] + [(900, said, "it"), (901, pile, "it"), (902, pile, None), (903, None, "it")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    assert spam.common_words(df)["it"] == set(glue)
+    assert {r.doc_id for r in spam.spam_pages(df).filter("is_spam").collect()} == {901, 902}
+
+
 def test_spam_pages_takes_nulls_and_clashes(spark):
     rows = [(1, None, True), (None, "x", True), (2, "free notes, " * 50, False), (2, "free notes, " * 50, False)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, is_spam boolean")
