@@ -119,7 +119,7 @@ def common_words(docs: DataFrame, text_col: str = "text", lang_col: str | None =
                 yield flush()
         yield flush()
 
-    prior = [(k, w, PRIOR) for k, v in LANGUAGES.items() for w in v.split()]
+    prior = [(k, w, PRIOR if w else 0) for k, v in LANGUAGES.items() for w in ["", *v.split()]]
     rows = docs.select(lang.alias("lang"), F.col(text_col).alias("text")).filter("text is not null").mapInArrow(count, "lang string, word string, n bigint")
     sums = rows.unionByName(docs.sparkSession.createDataFrame(prior, "lang string, word string, n bigint")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     totals = sums.filter("word = ''").select("lang", F.col("n").alias("docs"))
