@@ -72,10 +72,26 @@ def test_repetition_of_an_empty_table(spark):
     assert repetition.repeating_records(spark.createDataFrame([], TEXTS)).count() == 0
 
 
-def test_scores_cannot_miss_the_rule(spark):
-    rows = [(f"q{i}", f"{WORDS[i]} says nothing twice in this text of some words", None, 0) for i in range(50)]
-    model = repetition.fit_model(spark.createDataFrame(rows, TEXTS), "question_id", "question_text")
-    assert model.least() >= repetition.THRESHOLD
+def test_the_classifier_selects(spark):
+    rng = random.Random(15)
+    rows = []
+    for i in range(2000):
+        s = sentence(rng, rng.randint(12, 60)).split()
+        if i % 25 == 0:
+            n = rng.randint(5, len(s))
+            s += s[:n]
+        rows.append((f"q{i}", " ".join(s), [(x, "t") for x in ("a", "b", "c", "d")] + ([("B.", "t")] if i % 40 == 1 else []), i))
+    df = spark.createDataFrame(rows, TEXTS)
+    model = repetition.fit_model(df, "question_id", "question_text")
+    out = repetition.measure_repetition(df, model).collect()
+    true = {q for q, t, o, _ in rows if brute_repeats(t, [x for x, _ in o])}
+    chosen = {r.question_id for r in out if r.probability >= repetition.THRESHOLD}
+    assert true <= chosen and len(chosen) < 2 * len(true)
+    assert model.held["recall"] == 1.0 and model.held["candidates"] < 0.2
+    for _, n, said, found in model.held["bins"]:
+        assert n < 40 or abs(said - found) < 0.1
+    model.weights[:] = 0
+    assert len({r.probability for r in repetition.measure_repetition(df, model).collect()}) == 1
 
 
 # problem 3
