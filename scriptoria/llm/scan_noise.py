@@ -1,14 +1,17 @@
 """Problem 6: noise in text from scanned pages.
 
-A character editor reads words and chooses for every character to keep it, replace it, delete it, insert
-after it or join the line end; it is an averaged perceptron over the edit, its neighbours and how much more
-often the edited word occurs in the corpus. It is trained here, on words of the corpus that it spoils
-itself. Running headers and page numbers are told by their place on the page and by how many pages of
-their document they return on. Corpus counts cover all texts; they live in a table of fixed size.
+A character editor reads words and chooses for every character to keep it, replace it, delete it or insert
+after it, and for every broken word whether to join the line end; it is an averaged perceptron over the edit,
+its neighbours and how much more often the edited word occurs in the corpus, trained here on words of the
+corpus that it spoils and breaks itself. A second perceptron tells running headers and page numbers by their
+place on the page, the share of their document's pages and their form; it is trained on pages into which
+headers, titles and numbers are planted. Both decide by the sign or order of their scores alone. Corpus
+counts cover all texts; they live in a table of fixed size.
 """
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -27,25 +30,22 @@ from scriptoria.session import Scratch
 
 #: Cells of each of the two rows of word counts, whatever the corpus.
 CELL_BITS = 21
-#: Words the editor is trained on at most, and how often each is spoiled.
-TRAIN_WORDS, SPOILED = 3000, 2
+#: Words the editor is trained on at most, and how often each is spoiled; texts and pages that words and planted pages come from.
+TRAIN_WORDS, SPOILED, SAMPLE_TEXTS, SAMPLE_PAGES = 3000, 2, 4000, 3000
 #: Words with misread characters from which a record has the noise `chars`.
 MISREAD_WORDS = 3
-#: Pages of a document that a line must return on to be its header; share of documents from which a line
-#: is a section title that many documents have, and the least number of such documents.
-HEADER_PAGES, TITLE_SHARE, TITLE_DOCS = 3, 0.02, 4
-#: Letters that the key of a header has at least.
+#: Pages of a document that a line must return on to be its header.
+HEADER_PAGES = 3
+#: Letters of a header's key from which it is also looked for inside lines; shorter keys are too common there.
 HEADER_LETTERS = 6
 #: Letters of one word that the editor takes for others are fewer than these.
 EDITS = 3
-#: Longer runs of letters and digits are no words.
-LONGEST_WORD = 64
-#: How much more often the repaired word must occur.
-RATIO = 12
+#: Shorter runs of letters are too short to tell, longer ones are no words.
+SHORTEST_WORD, LONGEST_WORD = 4, 64
 
 #: What scanning makes of letters (left as read, right as printed).
 CONFUSIONS = {
-    "c": "e", "!": "i", "|": "i", "@": "a", "0": "o", "ri": "n", "5": "s", "1": "l", "f": "t", "ii": "u", "li": "h", "cl": "d", "rn": "m", "9": "g", "6": "b", "l": "i", "vv": "w", "$": "s", "8": "b",
+    "c": "e", "!": "i", "|": "i", "@": "a", "0": "o", "ri": "n", "5": "s", "1": "l", "f": "t", "ii": "u", "li": "h", "cl": "d", "rn": "m", "9": "g", "6": "b", "l": "i", "vv": "w", "$": "s", "8": "b", "ﬁ": "fi", "ﬂ": "fl",
 }
 
 #: A word as the scan has it: letters, digits and the signs that stand for letters.
@@ -54,12 +54,12 @@ LETTER = re.compile(r"[^\W\d_]")
 #: A word broken in two: hyphen of any kind, blanks or a line end, and the rest in lower case.
 BREAK = re.compile(r"([^\W\d_]{2,})(-[ \t]*\n[ \t]*|-[ \t]+|[‐¬­][ \t]*\n?[ \t]*)([^\W\d_]+)")
 DIGIT_INSIDE = re.compile(r"[a-z]{2}[0-9@|!$][a-z]{2}")
-BARE = re.compile(r"\d{1,4}")
-#: A page number on its own line.
-PAGE_LINE = re.compile(
-    r"\W*(?:page|seite|página|pág\.?|p\.|pg\.?|s\.)\s*\d{1,4}(?:\s*(?:of|von|de|sur|/)\s*\d{1,4})?\W*|\d{1,4}\s*\|\s*page|[-–—~\[(]\s*\d{1,4}\s*[-–—~\])]|\d{1,4}\s*(?:/|of)\s*\d{1,4}",
-    re.I,
-)
+OWN_HYPHEN = re.compile(r"([^\W\d_]{2,})-([^\W\d_]{2,})")
+#: How a page number is printed on its own line (n: the number, t: the number of pages, r: a roman number).
+PAGE_FORMS = (
+    "n", "n | page", "page n", "page n of t", "page n/t", "n/t", "n of t", "- n -", "– n –", "~ n ~", "[n]", "(n)", "[ n ]", "p. n", "p n", "pg. n", "pg n", "seite n", "seite n von t", "s. n", "página n", "página n de t",
+    "pág. n", "page n sur t", "r", "- r -", "[r]", "(r)", "~ r ~",
+)
 EDGE_NUMBER = re.compile(r"^\W*(?:p(?:age|\.)\s*)?\d{1,4}\s+(?=\S)|(?<=\S)\s+\W*(?:p(?:age|\.)\s*)?\d{1,4}\W*$", re.I)
 #: Beside a header inside a text: the rest of a word, the next words, a page number.
 WORD_END, WORD_BEGIN = re.compile(r"[\w@|!$]*\Z"), re.compile(r"[\w@|!$]*")
@@ -71,20 +71,19 @@ LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl"}
 LIGATURE = re.compile("[ﬀ-ﬄ]")
 #: Letters that scanning changes into others are left out of a line's key, or told as one.
 FOLD = str.maketrans({c: None for c in "rinulhcedmvw1!|¡"} | {"f": "t", "0": "o", "5": "s", "$": "s", "9": "g", "6": "b", "8": "b", "@": "a"})
+NUMBER = re.compile(r"\d+")
+ROMAN_NUMBER = re.compile(r"[ivxlc]+")
+SHAPES = {x for f in PAGE_FORMS for x in (f, re.sub(r"[ .:,]", "", f))}
 ROMAN = re.compile(r"[-–—~\[(]?\s*(?=[ivxlc]+\b)(?:c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})\s*[-–—~\])]?", re.I)
 
 
 class Lexicon:
-    """Counts of words in two rows of cells; the smaller of a word's two cells bounds its count from above.
-
-    A word with the count `usual` is too frequent to be a misreading.
-    """
+    """Counts of words in two rows of cells; the smaller of a word's two cells bounds its count from above."""
 
     def __init__(self, cells: np.ndarray):
         self.first, self.second = cells[0], cells[1]
         self.mask = len(cells[0]) - 1
         self.kept: dict[str, int] = {}
-        self.usual = max(50, int(cells[0].sum()) // 50_000)
 
     def __call__(self, word: str) -> int:
         n = self.kept.get(word)
@@ -169,89 +168,232 @@ def _apply(word: str, edits: tuple[tuple[int, str, str], ...]) -> str | None:
     return "".join(out) + word[at:]
 
 
-def _bin(n: int, base: int) -> str:
-    """How much more often the repaired word occurs."""
-    r = n / (base + 1)
-    return "0" if n == 0 else "less" if r < 1 else "same" if r < 4 else "more" if r < RATIO else "much"
-
+def _steps(name: tuple, n: int, base: int, lo: int, hi: int) -> list[tuple]:
+    """How much more often than base n is, as one feature for every power of two that is reached."""
+    r = math.floor(math.log2((n + 0.5) / (base + 0.5)))
+    return [(*name, k) for k in range(lo, min(r, hi) + 1)]
 
-class Editor:
-    """Averaged perceptron over edits of characters; an edit is keep, replace, delete, insert or join.
 
-    An edit of two characters into one replaces the first and deletes the second; a join deletes the mark
-    and the line end. The score of a reading is the sum over its edits, plus a word feature.
-    """
+class Perceptron:
+    """Weights of named features; averaged over all steps of the training."""
 
     def __init__(self, weights: dict[tuple, float] | None = None):
         self.weights = weights or {}
 
+    def score(self, features: list[tuple]) -> float:
+        get = self.weights.get
+        return sum([get(f, 0.0) for f in features])
+
+
+class _Trainer:
+    """Updates of an averaged perceptron."""
+
+    def __init__(self, model: Perceptron):
+        self.model, self.step = model, 0
+        self.weights: dict[tuple, float] = defaultdict(float)
+        self.sums: dict[tuple, float] = defaultdict(float)
+        model.weights = self.weights
+
+    def move(self, features: list[tuple], by: float) -> None:
+        for f in features:
+            self.weights[f] += by
+            self.sums[f] += by * self.step
+
+    def yes_or_no(self, features: list[tuple], want: bool) -> None:
+        self.step += 1
+        if (self.model.score(features) > 0) != want:
+            self.move(features, 1 if want else -1)
+
+    def done(self) -> None:
+        self.model.weights = {f: w - self.sums[f] / max(1, self.step) for f, w in self.weights.items()}
+
+
+class Editor(Perceptron):
+    """Averaged perceptron over edits of characters; an edit is keep, replace, delete, insert or join.
+
+    An edit of two characters into one replaces the first and deletes the second, one of one into two replaces
+    it and inserts another; a join deletes the mark and the line end. The score of a reading is the sum over
+    its edits and what the corpus says of the word; the reading with the highest score stands.
+    """
+
     @staticmethod
-    def features(word: str, edits: tuple[tuple[int, str, str], ...], repaired: str, lexicon: Lexicon, base: int) -> list[tuple]:
-        out: list[tuple] = [("word", _bin(lexicon(repaired), base) if edits else "keep", min(len(edits), 2))]
+    def features(word: str, edits: tuple[tuple[int, str, str], ...], n: int, base: int) -> list[tuple]:
+        if not edits:
+            return [("keep",), ("keep", "seen" if base > 1 else "unseen")]
+        inside = bool(DIGIT_INSIDE.search(word))
+        out: list[tuple] = [("edit",), ("edits", min(len(edits), 3)), ("known", n > 0, inside), ("sign" if len(edits) == 1 and not edits[0][1].isalpha() else "letters", n > 0)]
+        out += _steps(("ratio",), n, base, -2, 9)
         for i, read, printed in edits:
-            op = ("replace" if len(read) == 1 else "replace-delete", read, printed)
+            op = ("replace" if len(read) == len(printed) else "replace-delete" if len(read) > len(printed) else "replace-insert", read, printed)
             before, after = word[i - 1] if i else "^", word[i + len(read)] if i + len(read) < len(word) else "$"
-            out += [(op,), (op, "before", before), (op, "after", after), (op, "digit" if read[0].isdigit() else "sign" if not read[0].isalpha() else "letter")]
+            out += [(op,), (op, "before", before), (op, "after", after), (op[0], "digit" if read[0].isdigit() else "sign" if not read[0].isalpha() else "letter", n > 0)]
         return out
 
-    def score(self, features: list[tuple]) -> float:
-        return sum(self.weights.get(f, 0.0) for f in features)
-
-    def readings(self, word: str, lexicon: Lexicon) -> Iterator[tuple[tuple, str]]:
-        """The word itself and all its repaired forms that occur: every digit and sign is printed as a letter,
-        and fewer than EDITS letters are others."""
-        yield (), word
+    @staticmethod
+    def join_features(mark: str, n: int, a: int, b: int) -> list[tuple]:
+        """Of a word in two parts with the counts a and b, n as a whole."""
+        kind = ("hyphen" if mark[0] == "-" else "soft") + (" at a line's end" if "\n" in mark else "")
+        low = min(a, b)
+        return [("join", kind), ("join", kind, "whole", n > 0), ("join", kind, "parts", min(low, 2), n > 0), *_steps(("join", kind, "ratio"), n, low, -8, 5)]
+
+    def joins(self, mark: str, n: int, a: int, b: int) -> bool:
+        return self.score(self.join_features(mark, n, a, b)) > 0
+
+    def readings(self, word: str, lexicon: Lexicon) -> Iterator[tuple[tuple, str, int]]:
+        """(edits, word, count) of the word itself, of all its repaired forms that occur and of the form in which
+        only digits and signs are others: each of them is printed as a letter, and fewer than EDITS letters are others."""
+        yield (), word, lexicon(word)
         sites = _sites(word)
-        must = tuple(s for s in sites if not s[1].isalpha())
-        free = [s for s in sites if s[1].isalpha()]
+        must = tuple(s for s in sites if not s[1].isalpha() or s[1] in LIGATURES)
+        free = [s for s in sites if s[1].isalpha() and s[1] not in LIGATURES]
         for n in range(0 if must else 1, EDITS):
             for more in combinations(free, n):
                 edits = tuple(sorted(must + more)) if must else more
                 made = _apply(word, edits)
-                if made is not None and lexicon(made):
-                    yield edits, made
-
-    def read(self, word: str, lexicon: Lexicon) -> tuple[tuple, str]:
-        base, best = lexicon(word), None
-        for edits, made in self.readings(word, lexicon):
-            s = self.score(self.features(word, edits, made, lexicon, base))
+                if made is not None and ((count := lexicon(made)) or not more):
+                    yield edits, made, count
+
+    def read(self, word: str, lexicon: Lexicon, base: int | None = None, hide: bool = False) -> tuple[tuple, str, int]:
+        """(edits, word, count) of the best reading. base: the word's count, if another; hide: as if no word occurred."""
+        base, best = lexicon(word) if base is None else base, None
+        for edits, made, n in self.readings(word, lexicon):
+            if hide and edits:
+                n = 0
+            s = self.score(self.features(word, edits, n, base))
             if best is None or s > best[0]:
-                best = (s, edits, made)
-        return best[1], best[2]
+                best = (s, edits, made, n)
+        return best[1:]
 
     @classmethod
-    def train(cls, words: list[str], lexicon: Lexicon, epochs: int = 3, seed: int = 11) -> Editor:
-        """Fit on words that are spoiled here, and on the words as they are."""
+    def train(cls, words: list[str], lexicon: Lexicon, signs: list[str] = (), compounds: list[tuple[str, str]] = (), epochs: int = 4, seed: int = 11) -> Editor:
+        """Fit on words that are spoiled and broken here, and on words as they are.
+
+        signs: words of the corpus that hold digits of their own; compounds: both parts of words with a hyphen of their own.
+        """
         rng, spoil = random.Random(seed), defaultdict(list)
         for read, printed in CONFUSIONS.items():
             spoil[printed].append(read)
-        cases: list[tuple[str, tuple]] = []
+        cases: list[tuple] = [("read", w, (), None, False) for w in signs]
         for w in words:
-            cases.append((w, ()))
+            cases.append(("read", w, (), max(1, lexicon(w) >> rng.randint(0, 3)), False))
             places = [(i, p) for p in spoil for i in range(len(w)) if w.startswith(p, i)]
             for _ in range(SPOILED if places else 0):
                 i, printed = rng.choice(places)
                 read = rng.choice(spoil[printed])
-                cases.append((w[:i] + read + w[i + len(printed) :], ((i, read, printed),)))
-        weights: dict[tuple, float] = defaultdict(float)
-        sums: dict[tuple, float] = defaultdict(float)
-        editor, step = cls(weights), 0
+                odd = (not read.isalpha() or read in LIGATURES) and rng.random() < 0.3
+                cases.append(("read", w[:i] + read + w[i + len(printed) :], ((i, read, printed),), None, odd))
+            if len(w) >= 6:
+                k = rng.randint(2, len(w) - 2)
+                for mark in ("-\n", "- ", "\xad\n", "\xad"):
+                    cases.append(("join", mark, 0 if "\n" in mark and rng.random() < 0.2 else lexicon(w), lexicon(w[:k]), lexicon(w[k:]), True))
+                cases += [("join", mark, 0, lexicon(w[:k]), lexicon(w[k:]), False) for mark in ("- ", "\xad")]
+                if rng.random() < 0.25:  # a piece of a word is no misread one
+                    cases.append(("read", w[k:] if rng.random() < 0.5 else w[:k], (), None, False))
+            v = rng.choice(words)
+            cases += [("join", mark, lexicon(w + v), lexicon(w), lexicon(v), False) for mark in ("-\n", "- ")]
+        cases += [("join", mark, lexicon(a + b), lexicon(a), lexicon(b), False) for a, b in compounds for mark in ("-\n", "- ")]
+        editor = cls()
+        trainer = _Trainer(editor)
         for _ in range(epochs):
             rng.shuffle(cases)
-            for word, gold in cases:
-                step += 1
-                edits, made = editor.read(word, lexicon)
+            for kind, *case in cases:
+                if kind == "join":
+                    mark, n, a, b, want = case
+                    trainer.yes_or_no(cls.join_features(mark, n, a, b), want)
+                    continue
+                word, gold, base, hide = case
+                trainer.step += 1
+                edits, made, n = editor.read(word, lexicon, base, hide)
                 want = _apply(word, gold)
                 if made == want:
                     continue
-                base = lexicon(word)
-                for f in editor.features(word, gold, want, lexicon, base):
-                    weights[f] += 1
-                    sums[f] += step
-                for f in editor.features(word, edits, made, lexicon, base):
-                    weights[f] -= 1
-                    sums[f] -= step
-        return cls({f: w - sums[f] / max(1, step) for f, w in weights.items()})
+                base = lexicon(word) if base is None else base
+                trainer.move(cls.features(word, gold, 0 if hide else lexicon(want), base), 1)
+                trainer.move(cls.features(word, edits, n, base), -1)
+        trainer.done()
+        return editor
+
+
+class Furniture(Perceptron):
+    """Averaged perceptron over lines: which are page numbers, and which keys of a document are running headers."""
+
+    @staticmethod
+    def number_features(line: str, place: int, filled: int, page: bool) -> list[tuple] | None:
+        """place: of the line among the filled ones, from 0. None: no line that a number could be."""
+        shape = page_shape(line)
+        if shape is None:
+            return None
+        edge = min(place, filled - 1 - place) if page else 0 if filled > 1 else 9
+        where = "edge" if edge < 2 else "inside"
+        return [("number", where), ("number", shape, where), ("number", "word" if any(c in shape for c in "pgsá") else "bare", where)]
+
+    @staticmethod
+    def header_features(pages: int, doc_pages: int, top: int, bottom: int, forms: int, numbered: int, letters: int, others: float) -> list[tuple]:
+        """others: share of the other documents that have the key as well."""
+        out: list[tuple] = [("header",), ("header", "pages", min(pages, 6)), ("header", "letters", min(letters // 3, 3)), ("header", "numbers", numbered > 0), ("header", "forms", forms > 1)]
+        out += [("header", "share", k) for k in range(1, 8 * pages // max(doc_pages, pages) + 1)]
+        out += [("header", "side", k) for k in range(2, 4 * max(top, bottom) // max(1, top + bottom) + 1)]
+        return out + [("header", "others", k) for k, least in enumerate((0.0, 0.002, 0.01, 0.05)) if others > least]
+
+    def is_number(self, line: str, place: int, filled: int, page: bool) -> bool:
+        f = self.number_features(line, place, filled, page)
+        return f is not None and self.score(f) > 0
+
+    @classmethod
+    def train(cls, documents: list[list[str]], words: list[str], epochs: int = 4, seed: int = 12) -> Furniture:
+        """Fit on documents (the texts of their pages) into which headers, titles and numbers are planted."""
+        rng = random.Random(seed)
+        words = sorted(words) or ["notes", "review", "wall"]
+        phrase = lambda: " ".join(rng.choice(words).capitalize() for _ in range(rng.randint(2, 5)))
+        titles, series = [phrase() for _ in range(12)], [phrase() for _ in range(8)]
+        cases: list[tuple[list[tuple], bool]] = []
+        stats: dict[tuple[int, str], dict] = {}
+        label: dict[tuple[int, str], bool] = {}
+        for d, pages in enumerate(documents):
+            head, at_top = rng.choice(series) if rng.random() < 0.1 else phrase(), rng.random() < 0.5
+            often, mine = rng.uniform(0.3, 1.0), {t: (rng.uniform(0.1, 0.9), rng.choice([0, 1, -1, None, None])) for t in rng.sample(titles, 3)}
+            label |= {(d, line_key(head)[0]): True} | {(d, line_key(t)[0]): False for t in mine}
+            for p, text in enumerate(pages, rng.randint(1, 200)):
+                lines = _lines(text)
+                lines = [s for s in lines if page_shape(s) is None] or ["x"]
+                for t, (rate, at) in mine.items():
+                    if rng.random() < rate:
+                        shown = t if rng.random() < 0.8 else f"{t} {rng.choice(words)}"
+                        lines.insert(rng.choice([0, 1, len(lines), rng.randint(0, len(lines))]) if at is None else at if at >= 0 else len(lines), rng.choice([t, t, t, t.upper(), shown]))
+                if rng.random() < often:
+                    shown = rng.choice([head, head, head.upper(), head.replace("e", "c", 1), head.replace(" ", "  ", 1)])
+                    shown = rng.choice([shown, shown, f"{p} {shown}", f"{shown} {p}"])
+                    lines.insert(0 if at_top else len(lines), shown)
+                number = page_form(rng, p)
+                place = rng.choice([0, len(lines)])
+                inner = [i for i in range(3, len(lines) - 3)]
+                for i, s in enumerate(lines):
+                    if (f := cls.number_features(s, i, len(lines), True)) is not None:
+                        cases.append((f, False))
+                cases.append((cls.number_features(number, place, len(lines) + 1, True), True))
+                if inner:
+                    cases.append((cls.number_features(page_form(rng, p), rng.choice(inner), len(lines) + 1, True), False))
+                cases.append((cls.number_features(number, 1, 3, False), True))
+                cases.append((cls.number_features(number, 0, 1, False), False))
+                for key, sides, top, beside, shown in edge_lines("\n".join(lines), lambda s, i, n: False):
+                    x = stats.setdefault((d, key), {"pages": set(), "top": 0, "bottom": 0, "forms": set(), "numbered": 0})
+                    x["pages"].add(p)
+                    x["top" if top else "bottom"] += 1
+                    x["forms"].add(shown)
+                    x["numbered"] += beside
+        docs = Counter(key for (_, key), x in stats.items())
+        for (d, key), x in stats.items():
+            if (d, key) in label and len(x["pages"]) >= HEADER_PAGES:
+                f = cls.header_features(len(x["pages"]), len(documents[d]), x["top"], x["bottom"], len(x["forms"]), x["numbered"], len(key), (docs[key] - 1) / (len(documents) + 20))
+                cases += [(f, label[d, key])] * (4 if label[d, key] else 12)
+        model = cls()
+        trainer = _Trainer(model)
+        for _ in range(epochs):
+            rng.shuffle(cases)
+            for f, want in cases:
+                trainer.yes_or_no(f, want)
+        trainer.done()
+        return model
 
 
 class _Flags(dict):
@@ -263,7 +405,7 @@ class _Flags(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 400_000:
             self.clear()
-        n = self[word] = int(self.reader.word(word) != word or self.reader.unreadable(word))
+        n = self[word] = int(self.reader.word(word) != word)
         return n
 
 
@@ -291,36 +433,25 @@ class Reader:
         self.flags, self.printed = _Flags(self), _Printed(self)
 
     def word(self, word: str) -> str:
-        """The word as printed: itself unless the editor reads another that occurs RATIO times as often."""
+        """The word as printed: the editor's best reading."""
         made = self.kept.get(word)
         if made is None:
             made = word
             bare = word.rstrip("!|")  # an exclamation mark or a bar may follow
-            n = self.lexicon(bare)
-            if 4 <= len(bare) <= LONGEST_WORD and n < self.lexicon.usual and LETTER.search(bare) and (bare.isascii() or any(c in bare for c in "éèàçêôîûùâœñáíóúäöüß")):
-                edits, other = self.editor.read(bare, self.lexicon)
-                if edits and self.lexicon(other) >= RATIO * max(1, n):
-                    made = other + word[len(bare) :]
+            if SHORTEST_WORD <= len(bare) <= LONGEST_WORD and LETTER.search(bare):
+                made = self.editor.read(bare, self.lexicon)[1] + word[len(bare) :]
             if len(self.kept) > 400_000:
                 self.kept.clear()
             self.kept[word] = made
         return made
 
-    def unreadable(self, word: str) -> bool:
-        """A digit or sign inside a long word whose printed form the corpus doesn't have."""
-        return 6 <= len(word) <= LONGEST_WORD and bool(DIGIT_INSIDE.search(word)) and self.lexicon(word) < self.lexicon.usual
-
     def joins(self, first: str, mark: str, rest: str) -> bool:
-        """Whether a word was broken here. Words with a hyphen of their own have parts that occur alone."""
+        """Whether a word was broken here; its rest goes on in lower case."""
         if rest[0].isupper() and not first.isupper():
             return False
+        first, rest = _plain(first), _plain(rest)
         whole = self.word((first + rest).lower())
-        n, a, b = self.lexicon(whole), self.lexicon(first.lower()), self.lexicon(rest.lower())
-        if mark[0] != "-":
-            return "\n" in mark or n >= 2
-        if n >= 2 and (n > min(a, b) or min(a, b) < 20):
-            return True
-        return "\n" in mark and (min(a, b) <= 2 or n >= 1 and min(a, b) * 4 < n)
+        return self.editor.joins(mark, self.lexicon(whole), self.lexicon(first.lower()), self.lexicon(rest.lower()))
 
     def judge(self, text: str) -> tuple[int, bool]:
         """(words with misread characters, whether a word is broken)."""
@@ -394,58 +525,107 @@ def cut_headers(text: str, headers: dict[str, str]) -> str:
     return text
 
 
-def _is_page_line(line: str, edge: bool) -> bool:
-    s = line.strip()
-    if len(s) > 24:
-        return False
+def page_shape(line: str) -> str | None:
+    """The form of PAGE_FORMS that the line has; None if it has none."""
+    s = " ".join(line.lower().split())
+    if not 0 < len(s) <= 40:
+        return None
     if not any(map(str.isdigit, s)):
-        return edge and len(s) > 1 and bool(ROMAN.fullmatch(s))
-    return bool(PAGE_LINE.fullmatch(s)) or edge and bool(BARE.fullmatch(s))
+        if len(s) < 2 or not ROMAN.fullmatch(s):
+            return None
+        s = ROMAN_NUMBER.sub("r", s)
+    else:
+        found = NUMBER.findall(s)
+        if len(found) > 2 or any(len(x) > 4 for x in found):
+            return None
+        s = NUMBER.sub("n", s, count=1)
+        s = NUMBER.sub("t", s)
+    return s if s in SHAPES or (s := re.sub(r"[ .:,]", "", s)) in SHAPES else None
+
+
+def page_form(rng: random.Random, p: int) -> str:
+    """A page number in a form of PAGE_FORMS."""
+    roman = lambda n: "".join((("", "x", "xx", "xxx", "xl", "l", "lx", "lxx", "lxxx", "xc")[n % 100 // 10], ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")[n % 10])) or "xi"
+    form = rng.choice(PAGE_FORMS)
+    out = re.sub(r"\b[ntr]\b", lambda m: {"n": str(p), "t": str(p + 40), "r": roman(p) if len(roman(p)) > 1 else "xi"}[m[0]], form)
+    return out if rng.random() < 0.5 else out.capitalize()
 
 
 def _lines(text: str) -> list[str]:
     return [s for s in text.split("\n") if s.strip()]
 
 
-def header_keys(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(document_id, head, sides): keys and silent sides of the lines that return at top or bottom of HEADER_PAGES or more pages of a document.
+def edge_lines(text: str, is_number) -> Iterator[tuple[str, str, bool, bool, str]]:
+    """(key, silent sides, whether at the top, whether beside a number, line) of the lines at a page's top and bottom that may be a header."""
+    lines = _lines(text)
+    n = len(lines)
+    for i in dict.fromkeys([*range(min(2, n)), *range(max(0, n - 2), n)]):
+        s = lines[i]
+        if len(s) <= 120 and not LABEL.match(EDGE_NUMBER.sub("", s)) and not is_number(s, i, n):
+            key, beside = line_key(s)
+            if len(key) >= 2:
+                yield key, silent_sides(s), i < 2 and i * 2 < n, beside, s
 
-    Lines that many documents have are section titles and content.
-    """
+
+def header_keys(pages: DataFrame, furniture, scratch: Scratch) -> DataFrame:
+    """(document_id, head, sides): keys and silent sides of the running headers among the lines that return at
+    top or bottom of HEADER_PAGES or more pages of a document. furniture: the broadcast perceptron."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Furniture = furniture.value
         for b in batches:
-            doc, page, key, sides = [], [], [], []
+            rows = []
             for d, p, t in zip(b.column("document_id").to_pylist(), b.column("page").to_pylist(), b.column("text").to_pylist()):
-                lines = _lines(t or "")
-                for s in dict.fromkeys(lines[:2] + lines[-2:]):
-                    if len(s) <= 120 and not LABEL.match(EDGE_NUMBER.sub("", s)):
-                        k, _ = line_key(s)
-                        if len(k) >= HEADER_LETTERS:
-                            doc.append(d)
-                            page.append(p)
-                            key.append(k)
-                            sides.append(silent_sides(s))
-            yield pa.RecordBatch.from_pydict({"document_id": pa.array(doc, pa.string()), "page": pa.array(page, pa.int32()), "head": pa.array(key, pa.string()), "sides": pa.array(sides, pa.string())})
+                rows.append((d, p, "", "", None, None, None))
+                rows += [(d, p, key, sides, int(top), int(beside), xxhash.xxh64_intdigest(s) >> 1) for key, sides, top, beside, s in edge_lines(t or "", lambda s, i, n: model.is_number(s, i, n, True))]
+            cols = list(zip(*rows)) or [()] * 7
+            kinds = {"document_id": pa.string(), "page": pa.int32(), "head": pa.string(), "sides": pa.string(), "top": pa.int32(), "beside": pa.int32(), "form": pa.int64()}
+            yield pa.RecordBatch.from_pydict({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), cols)})
 
     rows = pages.select("document_id", F.col("page").cast("int"), "text").filter("document_id is not null and page is not null and text is not null")
-    seen = rows.mapInArrow(edges, "document_id string, page int, head string, sides string").groupBy("document_id", "head").agg(F.countDistinct("page").alias("pages"), F.max("sides").alias("sides"))
+    seen = rows.mapInArrow(edges, "document_id string, page int, head string, sides string, top int, beside int, form bigint").groupBy("document_id", "head", "page").agg(F.max("sides").alias("sides"), F.max("top").alias("top"), F.max("beside").alias("beside"), F.min("form").alias("form"))
+    seen = seen.groupBy("document_id", "head").agg(F.count(F.lit(1)).alias("pages"), F.max("sides").alias("sides"), F.sum("top").alias("top"), F.sum("beside").alias("beside"), F.countDistinct("form").alias("forms"))
     seen = scratch.cut(seen, "edges")
-    often = seen.groupBy("head").agg(F.count(F.lit(1)).alias("docs"))
-    total = pages.agg(F.approx_count_distinct("document_id").alias("n")).first()["n"]
-    titles = often.filter(F.col("docs") >= max(TITLE_DOCS, TITLE_SHARE * total)).select("head")
-    return seen.filter(F.col("pages") >= HEADER_PAGES).select("document_id", "head", "sides").join(titles, "head", "left_anti")
+    size = seen.filter("head = ''").select("document_id", F.col("pages").alias("doc_pages"))
+    total = size.count()
+    heads = seen.filter("head <> ''")
+    docs = heads.groupBy("head").agg(F.count(F.lit(1)).alias("docs"))
+    cand = salted_join(heads.filter(F.col("pages") >= HEADER_PAGES).join(size, "document_id"), docs, "head")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Furniture = furniture.value
+        for b in batches:
+            x = {c: b.column(c).to_pylist() for c in ("pages", "doc_pages", "top", "forms", "beside", "head", "docs")}
+            keep = [model.score(model.header_features(p, dp, top, p - top, forms, beside, len(head), (docs - 1) / (total + 20))) > 0 for p, dp, top, forms, beside, head, docs in zip(*x.values())]
+            yield b.select(["document_id", "head", "sides"]).filter(pa.array(keep, pa.bool_()))
 
+    return cand.mapInArrow(decide, "document_id string, head string, sides string")
 
-def fit_editor(texts: DataFrame) -> tuple[Editor, np.ndarray]:
-    """(editor, word counts). The training words are the TRAIN_WORDS lowest by hash of a bounded sample of texts."""
+
+def fit_models(texts: DataFrame, pages: DataFrame) -> tuple[Editor, Furniture, np.ndarray]:
+    """(editor, furniture, word counts). Both are fitted on bounded samples: words of the SAMPLE_TEXTS texts whose
+    hash is lowest, and whole documents, in order of hash, of SAMPLE_PAGES pages together (the longest first 50 of each)."""
     cells = word_counts(texts)
-    sample = texts.filter("text is not null").orderBy(F.xxhash64("text"), "text").limit(4000).toArrow()["text"].to_pylist()
-    words = {w for t in sample for w in _tokens(t) if len(w) >= 4 and w.isalpha() and w.isascii()}
     lexicon = Lexicon(cells)
-    least = max(5, int(cells[0].sum()) // 300_000)
-    known = sorted((w for w in words if lexicon(w) >= least), key=lambda w: xxhash.xxh64_intdigest(w))
-    return Editor.train(known[:TRAIN_WORDS], lexicon), cells
+    sample = texts.filter("text is not null").orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS).toArrow()["text"].to_pylist()
+    own = Counter(w for t in sample for w in set(_tokens(t)))
+    rank = lambda x: sorted(x, key=lambda w: (-lexicon(w), w))
+    words = rank(w for w in own if len(w) >= SHORTEST_WORD and w.isalpha() and not any(c in LIGATURES for c in w))
+    words = sorted(words[: max(1, len(words) // 2)], key=lambda w: xxhash.xxh64_intdigest(w))[:TRAIN_WORDS] if words else []
+    known = Editor()
+    signs = rank(w for w in own if len(w) >= SHORTEST_WORD and not w.isalpha() and LETTER.search(w) and not DIGIT_INSIDE.search(w) and not any(n for edits, _, n in known.readings(w, lexicon) if edits))[:TRAIN_WORDS]
+    known = set(words)
+    compounds = sorted({(a, b) for t in sample for a, b in OWN_HYPHEN.findall(t.lower()) if a in known and b in known})[:TRAIN_WORDS]
+    order = F.xxhash64("document_id")
+    chosen = pages.filter("document_id is not null and text is not null and page is not null").select(order.alias("h"), "document_id", "page", F.substring("text", 1, 20000).alias("text"))
+    docs: dict[str, dict[int, str]] = {}
+    for r in chosen.orderBy("h", "document_id", "page").limit(SAMPLE_PAGES).toArrow().to_pylist():
+        docs.setdefault(r["document_id"], {})[r["page"]] = r["text"]
+    documents = [[t for _, t in sorted(x.items())][:50] for x in docs.values()]
+    rng = random.Random(3)
+    while len(documents) < 60:  # a small table is made up for
+        documents.append([". ".join(" ".join(rng.choice(words or ["wall"]) for _ in range(8)) + "\n" for _ in range(6)) for _ in range(rng.randint(3, 12))])
+    return Editor.train(words, lexicon, signs, compounds), Furniture.train(documents, words), cells
 
 
 def _records(pages: DataFrame, review: DataFrame) -> DataFrame:
@@ -459,18 +639,19 @@ def scan_noise(pages: DataFrame, review: DataFrame, scratch: Scratch) -> DataFra
     """(table_name, record_key, noise_kind), distinct. Null and empty texts have no noise; a page or question
     delivered twice is reported once; further columns play no part."""
     records = _records(pages, review)
-    editor, cells = fit_editor(records.select("text"))
-    shared = pages.sparkSession.sparkContext.broadcast((editor, cells.astype(np.int32)))
+    editor, model, cells = fit_models(records.select("text"), pages)
+    shared = pages.sparkSession.sparkContext.broadcast((editor, model, cells.astype(np.int32)))
+    furniture_model = pages.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        editor, cells = shared.value
+        editor, model, cells = shared.value
         reader = Reader(editor, Lexicon(cells))
         for b in batches:
             kinds = []
             for table, text in zip(b.column("table_name").to_pylist(), b.column("text").to_pylist()):
                 lines, found = _lines(text), []
                 page = table == "page_extractions"
-                if (page or len(lines) > 1) and any(_is_page_line(s, not page or i < 2 or i >= len(lines) - 2) for i, s in enumerate(lines)):
+                if any(model.is_number(s, i, len(lines), page) for i, s in enumerate(lines)):
                     found.append("pageno")
                 misread, broken = reader.judge(text)
                 if misread >= MISREAD_WORDS:
@@ -485,40 +666,41 @@ def scan_noise(pages: DataFrame, review: DataFrame, scratch: Scratch) -> DataFra
             kinds = []
             for head, text in zip(b.column("head").to_pylist(), b.column("text").to_pylist()):
                 found = []
-                if head in fold(text):
+                keys = list(map(line_key, _lines(text)))
+                if len(head) >= HEADER_LETTERS and head in fold(text) or any(key == head for key, _ in keys):
                     found.append("header")
-                    if any(beside and key == head for key, beside in map(line_key, _lines(text))):
+                    if any(beside and key == head for key, beside in keys):
                         found.append("pageno")
                 kinds.append(found)
             yield pa.RecordBatch.from_pydict({"table_name": b.column("table_name"), "record_key": b.column("record_key"), "kinds": pa.array(kinds, pa.list_(pa.string()))})
 
     schema = "table_name string, record_key string, kinds array<string>"
-    heads = scratch.cut(header_keys(pages, scratch), "headers").select(F.lower("document_id").alias("d"), "head").distinct()
+    heads = scratch.cut(header_keys(pages, furniture_model, scratch), "headers").select(F.lower("document_id").alias("d"), "head").distinct()
     local = records.select("table_name", "record_key", "text").mapInArrow(judge, schema)
     own = salted_join(records.withColumn("d", F.lower("document_id")), heads, "d", hot=hot_keys(pages.select(F.lower("document_id").alias("d")), "d"))
     seen = local.unionByName(own.select("table_name", "record_key", "text", "head").mapInArrow(furniture, schema))
     return seen.select("table_name", "record_key", F.explode("kinds").alias("noise_kind")).distinct()
 
 
-def repair_text(text: str | None, headers: dict[str, str], reader: Reader, page: bool = True) -> str | None:
+def repair_text(text: str | None, headers: dict[str, str], reader: Reader, model: Furniture, page: bool = True) -> str | None:
     """Continuous paragraphs: furniture out, on lines of its own and inside lines, broken words joined, misread words as printed, lines of a paragraph joined."""
     if not text:
         return text
-    whole = fold(text) if headers else ""
-    headers = {h: sides for h, sides in headers.items() if h in whole}
     rows = text.split("\n")
     filled = [i for i, s in enumerate(rows) if s.strip()]
-    edge = set(filled[:2] + filled[-2:]) if page else set(filled)
+    place = {i: k for k, i in enumerate(filled)}
     kept = []
     for i, s in enumerate(rows):
-        if s.strip() and (_is_page_line(s, i in edge) and (page or len(filled) > 1) or headers and line_key(s)[0] in headers):
+        if i in place and (model.is_number(s, place[i], len(filled), page) or headers and line_key(s)[0] in headers):
             continue
         kept.append(s.strip())
+    whole = fold(text) if headers else ""
+    headers = {h: sides for h, sides in headers.items() if len(h) >= HEADER_LETTERS and h in whole}
     joined = "\n".join(kept)
-    out = reader.join(_plain(cut_headers(joined, headers) if headers else joined))
+    out = reader.join(cut_headers(joined, headers) if headers else joined)
 
     paragraphs: list[str] = []
-    for s in TOKEN.sub(lambda m: reader.printed[m[0]], out).split("\n"):
+    for s in _plain(TOKEN.sub(lambda m: reader.printed[m[0]], out)).split("\n"):
         if not s or not paragraphs or not paragraphs[-1] or LABEL.match(s):
             paragraphs.append(s)
         else:
@@ -529,16 +711,17 @@ def repair_text(text: str | None, headers: dict[str, str], reader: Reader, page:
 def repaired_texts(pages: DataFrame, review: DataFrame, scratch: Scratch) -> DataFrame:
     """(table_name, record_key, repaired_text): every text of both tables as continuous readable paragraphs."""
     records = _records(pages, review)
-    editor, cells = fit_editor(records.select("text"))
-    shared = pages.sparkSession.sparkContext.broadcast((editor, cells.astype(np.int32)))
-    heads = scratch.cut(header_keys(pages, scratch), "headers").groupBy(F.lower("document_id").alias("d")).agg(F.collect_set(F.struct("head", "sides")).alias("heads"))
+    editor, model, cells = fit_models(records.select("text"), pages)
+    shared = pages.sparkSession.sparkContext.broadcast((editor, model, cells.astype(np.int32)))
+    furniture_model = pages.sparkSession.sparkContext.broadcast(model)
+    heads = scratch.cut(header_keys(pages, furniture_model, scratch), "headers").groupBy(F.lower("document_id").alias("d")).agg(F.collect_set(F.struct("head", "sides")).alias("heads"))
     rows = salted_join(records.withColumn("d", F.lower("document_id")), heads, "d", "left", hot=hot_keys(pages.select(F.lower("document_id").alias("d")), "d"))
 
     def fix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        editor, cells = shared.value
+        editor, model, cells = shared.value
         reader = Reader(editor, Lexicon(cells))
         for b in batches:
-            done = [repair_text(t, {x["head"]: x["sides"] for x in h or ()}, reader, n == "page_extractions") for t, h, n in zip(b.column("text").to_pylist(), b.column("heads").to_pylist(), b.column("table_name").to_pylist())]
+            done = [repair_text(t, {x["head"]: x["sides"] for x in h or ()}, reader, model, n == "page_extractions") for t, h, n in zip(b.column("text").to_pylist(), b.column("heads").to_pylist(), b.column("table_name").to_pylist())]
             yield pa.RecordBatch.from_pydict({"table_name": b.column("table_name"), "record_key": b.column("record_key"), "repaired_text": pa.array(done, pa.string())})
 
     return rows.select("table_name", "record_key", "text", "heads").mapInArrow(fix, "table_name string, record_key string, repaired_text string").distinct()

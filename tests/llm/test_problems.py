@@ -204,17 +204,29 @@ def test_editor_repairs_what_it_was_not_shown():
     held = vocabulary[300:]
     assert all(reader.word(w) == w for w in held)
     spoiled = [(w.replace("e", "c", 1), w) for w in held if "e" in w] + [(w.replace("o", "0", 1), w) for w in held if "o" in w]
+    spoiled += [(w.replace("n", "ri", 1), w) for w in held if "n" in w]
     assert sum(reader.word(a) == b for a, b in spoiled) > 0.97 * len(spoiled)
     first, second = held[0], held[1]
     assert reader.judge(f"{first[:4]}-\n{first[4:]} {second}") == (0, True)
     assert reader.judge(f"{first}-{second}")[1] is False
+    idle = scan_noise.Reader(scan_noise.Editor(), lexicon)  # without weights nothing is read or joined
+    assert all(idle.word(a) == a for a, _ in spoiled) and idle.judge(f"{first[:4]}-\n{first[4:]} {second}") == (0, False)
 
 
 def test_page_lines_and_header_keys():
-    assert all(scan_noise._is_page_line(s, True) for s in ("12 | Page", "Page 3 of 10", "- 7 -", "[12]", "~ 4 ~", "p. 45", "88", "xxiv"))
-    assert not any(scan_noise._is_page_line(s, True) for s in ("1 4 2", "±2", "37 °C", "a- 12", "12- The", "L4.", "mix"))
-    assert not scan_noise._is_page_line("88", False)
+    pages = [[f"the wall of part {'abcdefgh'[d % 8]} and more\n" * 12 for _ in range(6)] for d in range(60)]
+    model = scan_noise.Furniture.train(pages, ["wall", "lobe", "tract", "sheath", "ridge", "border"])
+    edge = lambda s: model.is_number(s, 0, 20, True)
+    assert all(map(edge, ("12 | Page", "Page 3 of 10", "- 7 -", "[12]", "~ 4 ~", "p. 45", "88", "xxiv", "SEITE 7", "página 12")))
+    assert not any(map(edge, ("1 4 2", "±2", "37 °C", "a- 12", "12- The", "L4.", "mix", "Page", "12345")))
+    assert not model.is_number("88", 9, 20, True) and not model.is_number("88", 0, 1, False)
+    head = lambda **x: model.score(model.header_features(**{"pages": 6, "doc_pages": 7, "top": 6, "bottom": 0, "forms": 3, "numbered": 2, "letters": 14, "others": 0.0} | x)) > 0
+    assert head() and head(others=0.004) and not head(others=0.3, forms=1, numbered=0, pages=3, top=2, bottom=1, letters=4)
+    model.weights = {}
+    assert not edge("Page 3 of 10") and not head()
     assert scan_noise.line_key("10  Notes on P0ndnioron Bunsceloid Lesion")[0] == scan_noise.line_key("NOTES ON PONDNIORON BURISCELOID LESION")[0]
+    rng = random.Random(16)
+    assert all(scan_noise.page_shape(scan_noise.page_form(rng, p)) for p in range(1, 400))
 
 
 def test_scan_noise_finds_furniture_and_takes_nulls(spark):
