@@ -3,7 +3,7 @@
 import random
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -290,6 +290,37 @@ def test_twice_wrong_single_byte_and_lost():
     assert encodings.repair("la cr�te").garbled and encodings.repair(None).text == ""
 
 
+@pytest.mark.parametrize("text", ["Państwo w tej części świata", "Český jazyk je těžký, kůže", "Ні, це не так", "a 10 kΩ resistor and 5 μmol/L", "sinθ + cosθ and a πbond", "Größe Maß\xad\nstab “groß“"])
+def test_right_words_stay_whatever_the_corpus_has(text):
+    known = {"größe": 40, "fièvre": 40, "niño": 60, "crête": 30}
+    r = encodings.repair(text, lambda w: known.get(w, 0))
+    assert not r.garbled and r.text == text
+
+
+@pytest.mark.parametrize("codec", ["cp1250", "cp1251", "cp1257"])
+@pytest.mark.parametrize("text", ["La fièvre à côté de la crête était aiguë, la cône aussi", "El niño más pequeño según el corazón", "Der größere Fuß führt über die mäßige Öffnung"])
+def test_western_words_are_told_by_the_corpus(text, codec):
+    known = Counter(re.findall(r"[^\W\d_]+", text.lower()))
+    del known["cône"], known["corazón"], known["öffnung"]
+    wrong = text.encode("cp1252").decode(codec, "replace")
+    r = encodings.repair(wrong, lambda w: 20 * known[w])
+    assert r.text == text if "�" not in wrong else r.garbled
+
+
+@pytest.mark.parametrize("text", ["שלום עולם", "東京都の人口", "한국어 문장", "😀 and 😷", "नमस्ते"])
+@pytest.mark.parametrize("codec", ["cp1252", "latin-1"])
+def test_other_scripts_and_signs_are_restored(text, codec):
+    wrong = "".join(bytes([b]).decode("cp1252") if codec == "cp1252" and b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in text.encode())
+    assert encodings.repair("Before: " + wrong).text == "Before: " + text
+
+
+def test_many_layers_are_undone():
+    text, wrong = "Größe", "Größe"
+    for _ in range(7):
+        wrong = "".join(bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in wrong.encode())
+    assert encodings.repair(wrong).text == text
+
+
 def test_repair_pages_takes_nulls_and_clashes(spark):
     rows = [("d", 1, "FuÃŸ", True), ("d", 1, "FuÃŸ", True), ("d", 2, None, False), (None, 3, "FuÃŸ", True), ("d", 4, "right", None)]
     df = spark.createDataFrame(rows, "document_id string, page int, text string, garbled boolean")
