@@ -162,27 +162,31 @@ def leaked_items(docs: DataFrame, items: DataFrame, edits: int = 0, doc_id: str
 
     With edits = 0 the words agree exactly. words is the most words of the item found in one place. Null or
     short texts and null ids leak nothing. The items are a stated query set: they are indexed in blocks of
-    bounded size, and every block meets every document, in one pass.
+    bounded size. Documents are read once; a task meets its documents with one block after the other and
+    holds one at a time.
     """
     spark = docs.sparkSession
     sized = items.select(F.col(item_id).cast("long").alias("i"), F.col("text").alias("t")).filter("i is not null and t is not null").distinct()
     total = sized.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     blocks = int(total // BLOCK_CHARS) + 1
     schema = f"{doc_id} bigint, {item_id} bigint, words int"
-    out = None
+    shared = []
     for k in range(blocks):
         part = sized.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).toArrow()
         indexes = build_indexes(sorted(zip(part["i"].to_pylist(), part["t"].to_pylist())), edits)
-        if not indexes:
-            continue
-        shared = spark.sparkContext.broadcast(indexes)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            indexes = shared.value
-            for b in batches:
-                texts = [_norm(t) for t in b.column("text").to_pylist()]
-                size = np.array([len(t) for t in texts], np.int64)
-                total, rows, lo = np.cumsum(size), [], 0
+        if indexes:
+            shared.append(spark.sparkContext.broadcast(indexes))
+    if not shared:
+        return spark.createDataFrame([], schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("d").to_pylist()
+            texts = [_norm(t) for t in b.column("text").to_pylist()]
+            size = np.array([len(t) for t in texts], np.int64)
+            total = np.cumsum(size)
+            for block in shared:
+                indexes, rows, lo = block.value, [], 0
                 while lo < len(texts):
                     hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + CHUNK_CHARS, "right")))
                     starts = np.r_[0, np.cumsum(size[lo:hi])]
@@ -190,13 +194,11 @@ def leaked_items(docs: DataFrame, items: DataFrame, edits: int = 0, doc_id: str
                     for index in indexes:
                         rows += [(lo + d, index.ids[i], w) for d, i, w in find_leaks(codes, doc, starts, index, edits)]
                     lo = hi
-                ids = b.column("d").to_pylist()
+                if len(shared) > 1:
+                    block.__dict__.pop("_value", None)  # read again from the executor's disk when the next batch needs it
                 yield pa.RecordBatch.from_pydict({
                     doc_id: pa.array([ids[d] for d, _, _ in rows], pa.int64()), item_id: pa.array([i for _, i, _ in rows], pa.int64()), "words": pa.array([w for _, _, w in rows], pa.int32()),
                 })
 
-        found = docs.select(F.col(doc_id).cast("long").alias("d"), "text").filter("d is not null and text is not null").mapInArrow(scan, schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], schema)
-    return out.groupBy(doc_id, item_id).agg(F.max("words").alias("words"))
+    found = docs.select(F.col(doc_id).cast("long").alias("d"), "text").filter("d is not null and text is not null").mapInArrow(scan, schema)
+    return found.groupBy(doc_id, item_id).agg(F.max("words").alias("words"))

@@ -383,7 +383,9 @@ def brute_leaks(docs, items, n=12):
     return {(d, i) for d, t in docs for w in [words(t)] for k in range(len(w) - n + 1) for i in where.get(tuple(w[k : k + n]), ())}
 
 
-def test_leaks_agree_with_brute_force(spark):
+@pytest.mark.parametrize("block", [leaks.BLOCK_CHARS, 900])
+def test_leaks_agree_with_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(leaks, "BLOCK_CHARS", block)
     rng = random.Random(9)
     items = [(i, sentence(rng, rng.randint(5, 50))) for i in range(60)] + [(100, None), (None, sentence(rng, 20)), (101, "")]
     items.append((200, items[0][1]))
