@@ -3,13 +3,14 @@
 Low-diameter decomposition: every vertex draws an exponential shift and starts a cluster at its shifted
 time unless a neighbouring cluster reached it before. Clusters become super-vertices, the edges between
 clusters go into the next round, and the assignments of all rounds are composed at the end. A shift is
-cut at `cap`, so a round takes at most `cap` growth steps; each round keeps a constant share of the
-vertices, so chains of any length need a logarithmic number of rounds.
+cut at `cap`, so a round takes `cap` growth steps, which are one plan: a vertex reaches itself by an edge of
+length 0, so each step is one join with the edges and one aggregation. Each round keeps a constant share of
+the vertices, so chains of any length need a logarithmic number of rounds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptoria.functions.text import BLANKS
@@ -20,59 +21,46 @@ from scriptoria.session import Scratch
 MAX_ROUNDS = 60
 
 
-def _shifted(vertices: DataFrame, beta: float, cap: int, salt: int) -> DataFrame:
-    """(v, start, prio): the growth step at which v starts a cluster, and its order within a step.
-
-    The shift comes from a hash of vertex and round, so a recomputed task draws the same one.
-    """
+def _late(salt: int, beta: float, cap: int) -> Column:
+    """The time at which v starts a cluster. The shift comes from a hash of vertex and round, so a recomputed task draws the same one."""
     u = (F.pmod(F.xxhash64("v", F.lit(salt)), F.lit(1 << 52)) + F.lit(1)) / F.lit(float((1 << 52) + 1))
-    shift = F.least(-F.log(u) / F.lit(beta), F.lit(float(cap)))
-    late = F.lit(float(cap)) - shift
-    start = F.floor(late).cast("int")
-    return vertices.select("v", start.alias("start"), (late - F.floor(late)).alias("prio"))
-
-
-def decompose(edges: DataFrame, scratch: Scratch, round_no: int, beta: float, cap: int) -> DataFrame:
-    """edges(src, dst), both directions -> (v, center). The start at step 0 needs no neighbour."""
-    hot = hot_keys(edges, "src")
-    state = _shifted(edges.select(F.col("src").alias("v")).distinct(), beta, cap, round_no)
-    own = F.when(F.col("start") == 0, F.struct(F.col("prio").alias("p"), F.col("v").alias("c")))
-    state = cut = scratch.cut(state.withColumn("x", own).withColumn("fresh", F.col("x").isNotNull()), f"grow{round_no}-0")
-    for step in range(1, cap + 1):
-        frontier = state.filter("fresh").select(F.col("v").alias("src"), "x")
-        offers = salted_join(edges, frontier, "src", hot=hot).select(F.col("dst").alias("v"), "x").groupBy("v").agg(F.min("x").alias("offer"))
-        starts = F.when(F.col("start") <= step, F.struct(F.col("prio").alias("p"), F.col("v").alias("c")))
-        taken = F.coalesce(F.col("x"), F.least(F.col("offer"), starts))
-        grown = state.join(offers, "v", "left").select("v", "start", "prio", taken.alias("y"), F.col("x").isNull().alias("open"))
-        grown = grown.select("v", "start", "prio", F.col("y").alias("x"), (F.col("open") & F.col("y").isNotNull()).alias("fresh"))
-        if step % 2 == 0 or step == cap:
-            grown = scratch.cut(grown, f"grow{round_no}-{step}")
-            scratch.drop(cut)
-            cut = grown
-        state = grown
+    return F.lit(float(cap)) - F.least(-F.log(u) / F.lit(beta), F.lit(float(cap)))
+
+
+def decompose(edges: DataFrame, scratch: Scratch, round_no: int, beta: float, cap: int, hot: list) -> DataFrame:
+    """edges(src, dst, len), both directions and each vertex with itself -> (v, center): whose cluster reaches v first."""
+    start = edges.filter("len = 0").select(F.col("src").alias("v"))
+    state = start.select("v", F.struct(_late(round_no, beta, cap).alias("at"), F.col("v").alias("c")).alias("x"))
+    for _ in range(cap):
+        reached = salted_join(edges, state.withColumnRenamed("v", "src"), "src", hot=hot)
+        state = reached.groupBy(F.col("dst").alias("v")).agg(F.min(F.struct((F.col("x.at") + F.col("len")).alias("at"), F.col("x.c").alias("c"))).alias("x"))
     return scratch.cut(state.select("v", F.col("x.c").alias("center")), f"centers{round_no}")
 
 
-def connected_groups(links: DataFrame, a: str, b: str, scratch: Scratch, beta: float = 0.4, cap: int = 6) -> DataFrame:
+def _with_loops(pairs: DataFrame) -> DataFrame:
+    """pairs(s, t) -> edges(src, dst, len): both directions, and every end with itself."""
+    edge = lambda a, b, n: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), F.lit(n).alias("len"))
+    return pairs.select(F.explode(F.array(edge("s", "t", 1), edge("t", "s", 1), edge("s", "s", 0), edge("t", "t", 0))).alias("e")).select("e.*").distinct()
+
+
+def connected_groups(links: DataFrame, a: str, b: str, scratch: Scratch, beta: float = 0.25, cap: int = 9) -> DataFrame:
     """(v, root) for every end of a link; root names the group and is one of its members.
 
     Null ends and links of a record to itself link nothing; an empty table has no groups.
     """
-    pair = links.select(F.least(a, b).alias("s"), F.greatest(a, b).alias("t"), F.col(a).alias("_a"), F.col(b).alias("_b"))
-    pair = pair.filter("_a is not null and _b is not null and _a <> _b").select("s", "t").distinct()
-    both = pair.select(F.explode(F.array(F.struct(F.col("s").alias("src"), F.col("t").alias("dst")), F.struct(F.col("t").alias("src"), F.col("s").alias("dst")))).alias("e")).select("e.*")
-    edges = scratch.cut(both, "edges0")
+    pair = links.select(F.col(a).alias("s"), F.col(b).alias("t")).filter("s is not null and t is not null and s <> t")
+    edges = scratch.cut(_with_loops(pair), "edges0")
     maps: list[DataFrame] = []
     for round_no in range(1, MAX_ROUNDS + 1):
         if not edges._scratch_rows:
             break
-        center = decompose(edges, scratch, round_no, beta, cap)
+        hot = hot_keys(edges, "src")
+        center = decompose(edges, scratch, round_no, beta, cap, hot)
         maps.append(center)
         c = center.select(F.col("v").alias("src"), F.col("center").alias("c"))
-        hot = hot_keys(edges, "src")
-        hop = salted_join(edges, c, "src", hot=hot).select(F.col("c").alias("a"), F.col("dst").alias("src"))
-        hop = salted_join(hop, c, "src", hot=hot).select(F.col("a").alias("src"), F.col("c").alias("dst")).filter("src <> dst").distinct()
-        nxt = scratch.cut(hop, f"edges{round_no}")
+        hop = salted_join(edges.filter("src < dst").select("src", "dst"), c, "src", hot=hot).select(F.col("c").alias("s"), F.col("dst").alias("src"))
+        hop = salted_join(hop, c, "src", hot=hot).select("s", F.col("c").alias("t")).filter("s <> t")
+        nxt = scratch.cut(_with_loops(hop), f"edges{round_no}")
         scratch.drop(edges)
         edges = nxt
     else:
