@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions.similarity import ratio, self_repeat_ratio
 from scriptoria.functions.text import collapse
+from scriptoria.operators.skew import salted_join
 
 
 def exact_copies(df: DataFrame, id_col: str, content: Column) -> DataFrame:
     """(id, content_hash, keeper, copies): per row the least id with the same content and the copies' number.
 
-    Counting and the least id are combined before the shuffle; the join back is on the hash.
+    Counting and the least id are combined before the shuffle; the join back on the hash is salted.
     """
     hashed = df.select(F.col(id_col), F.sha2(content, 256).alias("content_hash")).filter("content_hash is not null")
     best = hashed.groupBy("content_hash").agg(F.min(id_col).alias("keeper"), F.count(F.lit(1)).alias("copies"))
-    return hashed.join(best, "content_hash").select(id_col, "content_hash", "keeper", "copies")
+    return salted_join(hashed, best, "content_hash").select(id_col, "content_hash", "keeper", "copies")
 
 
 def repeated_blocks(df: DataFrame, keys: list[str], text: str = "text", separator: str = r"\n\s*\n", min_chars: int = 60, least: float | None = None) -> DataFrame:
@@ -59,21 +60,26 @@ def doubled_texts(questions: DataFrame, least: float = 0.85) -> DataFrame:
 
 
 def resolve_duplicates(questions: DataFrame, least: float = 0.85) -> DataFrame:
-    """questions(question_id, ord, question_text, pages) -> one row per kept question.
+    """Records with every question_id once per document; questions needs question_id, document_id, section, block,
+    number, question_text, pages and anomalies, and keeps its other columns. copy_of is the number of a conflicting copy.
 
     Copies of an id at least `least` similar to the first merge into it, with the union of the pages; others
-    stay as id~conflictK, both sides naming each other.
+    stay as id~conflictK, both sides naming each other. Records whose id is alone are not compared.
     """
-    w = Window.partitionBy("question_id").orderBy("ord")
-    rows = questions.withColumn("k", F.row_number().over(w)).withColumn("first_text", F.first("question_text").over(w))
-    rows = rows.withColumn("sim", F.when(F.col("k") > 1, ratio("first_text", "question_text"))).withColumn("merged", F.coalesce(F.col("sim") >= least, F.lit(False)))
-    rows = rows.withColumn("conflict", F.when((F.col("k") > 1) & ~F.col("merged"), F.sum(F.when((F.col("k") > 1) & ~F.col("merged"), 1).otherwise(0)).over(w)))
-    rows = rows.withColumn("new_id", F.when(F.col("conflict").isNull(), F.col("question_id")).otherwise(F.concat("question_id", F.lit("~conflict"), "conflict")))
-    shown = F.format_string("%.2f", "sim")
-    note = F.when(F.col("merged"), F.concat(F.lit("duplicate_question_merged:sim_"), shown)).when(F.col("conflict").isNotNull(), F.concat(F.lit("duplicate_question_number_conflict:sim_"), shown, F.lit(":conflicts_with="), "question_id"))
-    other = F.when(F.col("conflict").isNotNull(), F.concat(F.lit("duplicate_question_number_conflict:sim_"), shown, F.lit(":conflicts_with="), "new_id"))
-    kept = rows.withColumn("note", note).withColumn("other", other)
-    mine = kept.groupBy("new_id").agg(F.min("question_id").alias("base"), F.min_by("question_text", "k").alias("question_text"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("pages"), F.array_sort(F.collect_list("note")).alias("notes"))
-    theirs = kept.filter("other is not null").groupBy(F.col("question_id").alias("new_id")).agg(F.array_sort(F.collect_list("other")).alias("others"))
-    out = mine.join(theirs, "new_id", "left")
-    return out.select(F.col("new_id").alias("question_id"), "question_text", "pages", F.concat("notes", F.coalesce("others", F.array().cast("array<string>"))).alias("anomalies"))
+    w = Window.partitionBy("document_id", "question_id").orderBy("section", "block")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = questions.withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(every)).withColumn("_first", F.first("question_text").over(w))
+    alone = rows.filter("_n = 1").withColumn("copy_of", F.lit(None).cast("string"))
+    many = rows.filter("_n > 1").withColumn("_sim", F.coalesce(ratio("_first", "question_text"), F.lit(0.0)))
+    many = many.withColumn("_merged", (F.col("_k") > 1) & (F.col("_sim") >= least)).withColumn("_c", F.sum(((F.col("_k") > 1) & ~F.col("_merged")).cast("int")).over(w))
+    clash = (F.col("_k") > 1) & ~F.col("_merged")
+    many = many.withColumn("_shown", F.format_string("%.2f", "_sim")).withColumn("_new", F.when(clash, F.concat("question_id", F.lit("~conflict"), "_c")).otherwise(F.col("question_id")))
+    told = lambda other: F.concat(F.lit("duplicate_question_number_conflict:sim_"), "_shown", F.lit(":conflicts_with="), other)
+    note = F.when(F.col("_merged"), F.concat(F.lit("duplicate_question_merged:sim_"), "_shown")).when(clash, told(F.col("_new")))
+    many = many.withColumn("_note", note).withColumn("_notes", F.transform(F.array_sort(F.collect_list(F.when(F.col("_note").isNotNull(), F.struct("_k", "_note"))).over(every)), lambda x: x["_note"]))
+    many = many.withColumn("_pages", F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(~clash, F.col("pages"))).over(every)))))
+    many = many.filter("not _merged").withColumn("anomalies", F.concat("anomalies", F.when(clash, F.array(told(F.col("question_id")))).otherwise(F.col("_notes"))))
+    many = many.withColumn("pages", F.when(clash, F.col("pages")).otherwise(F.col("_pages"))).withColumn("copy_of", F.when(clash, F.col("number")))
+    many = many.withColumn("number", F.when(clash, F.concat("number", F.lit("~conflict"), "_c")).otherwise(F.col("number"))).withColumn("question_id", F.col("_new"))
+    cols = [*questions.columns, "copy_of"]
+    return alone.select(*cols).unionByName(many.select(*cols))

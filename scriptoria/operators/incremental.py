@@ -3,7 +3,9 @@
 A store folder holds `log/<n>.json`, one file per committed run, put in place by a single rename.
 It names the run's watermark, its output and its state, so output and watermark become visible
 together or not at all. A run fixes its upper bound before it reads; rows that arrive meanwhile wait
-for the next run. What a failed run wrote is named by no log file and is ignored.
+for the next run. What a failed run wrote is named by no log file and is ignored. Rows without a sequence
+number have no place in that order: they are taken once each, told by their content, whenever they are first
+seen.
 """
 
 from __future__ import annotations
@@ -30,13 +32,11 @@ class Bounds:
     upper: int | None
 
     def slice(self, rows: DataFrame, seq: str) -> DataFrame:
-        """Rows of (lower, upper]; a row without sequence number belongs to every slice."""
+        """Rows of (lower, upper]; rows without sequence number are in no slice."""
         if self.upper is None:
-            return rows.filter(F.col(seq).isNull())
+            return rows.filter(F.lit(False))
         inside = F.col(seq) <= self.upper
-        if self.lower is not None:
-            inside = inside & (F.col(seq) > self.lower)
-        return rows.filter(inside | F.col(seq).isNull())
+        return rows.filter(inside if self.lower is None else inside & (F.col(seq) > self.lower))
 
 
 class CommitStore:
@@ -68,13 +68,32 @@ class CommitStore:
         upper = lower if top is None else top if lower is None else max(top, lower)
         return Bounds(done["number"] + 1 if done else 1, lower, upper)
 
-    def commit(self, bounds: Bounds, output: DataFrame, state: DataFrame | None = None) -> dict:
+    def aside(self, bounds: Bounds) -> str:
+        """A folder of this attempt's own; nothing in it counts before the commit."""
+        return f"{self.root}/data/{bounds.number:08d}-{uuid.uuid4().hex[:8]}"
+
+    def unnumbered(self, rows: DataFrame, seq: str, done: dict | None, aside: str) -> tuple[DataFrame, str]:
+        """(rows without sequence number that no run has taken, folder of the marks of all taken ones).
+
+        The new rows are written before they are used, so the run and its marks see the same ones. Rows equal in
+        all columns count as one.
+        """
+        own = rows.filter(F.col(seq).isNull()).withColumn("_mark", F.sha2(F.to_json(F.struct(*rows.columns)), 256)).dropDuplicates(["_mark"])
+        taken = self.spark.read.schema("_mark string").parquet(done["unnumbered"]) if done and done.get("unnumbered") else None
+        own = own if taken is None else own.join(taken, "_mark", "left_anti")
+        own.write.parquet(f"{aside}/rows")
+        own = self.spark.read.schema(own.schema).parquet(f"{aside}/rows")
+        marks = own.select("_mark") if taken is None else own.select("_mark").unionByName(taken)
+        marks.write.parquet(f"{aside}/marks")
+        return own.select(*rows.columns), f"{aside}/marks"
+
+    def commit(self, bounds: Bounds, output: DataFrame, state: DataFrame | None = None, aside: str | None = None, unnumbered: str | None = None) -> dict:
         """Write output and state aside, then make both and the watermark valid by one rename."""
-        aside = f"{self.root}/data/{bounds.number:08d}-{uuid.uuid4().hex[:8]}"
+        aside = aside or self.aside(bounds)
         output.write.parquet(f"{aside}/output")
         if state is not None:
             state.write.parquet(f"{aside}/state")
-        entry = {"number": bounds.number, "watermark": bounds.upper, "output": f"{aside}/output", "state": f"{aside}/state" if state is not None else None}
+        entry = {"number": bounds.number, "watermark": bounds.upper, "output": f"{aside}/output", "state": f"{aside}/state" if state is not None else None, "unnumbered": unnumbered}
         draft, final = self._Path(f"{aside}/entry.json"), self._Path(f"{self.root}/log/{bounds.number:08d}.json")
         stream = self._fs.create(draft, True)
         stream.write(bytearray(json.dumps(entry).encode()))
@@ -89,7 +108,20 @@ class CommitStore:
         done = self.last()
         bounds = self.begin(rows, seq)
         before = self.spark.read.parquet(done["state"]) if done and done["state"] else None
-        return self.commit(bounds, *step(bounds.slice(rows, seq), before))
+        aside = self.aside(bounds)
+        more, marks = self.unnumbered(rows, seq, done, aside)
+        output, state = step(bounds.slice(rows, seq).unionByName(more), before)
+        return self.commit(bounds, output, state, aside, marks)
+
+    def apply(self, number: int, step: Callable[[DataFrame | None], tuple[DataFrame, DataFrame | None]]) -> dict:
+        """One run over changes that the caller numbers: step(state before) -> (output, state after). A number that
+        a run has already committed is not applied again."""
+        done = self.last()
+        if done and done["watermark"] is not None and number <= done["watermark"]:
+            return done
+        bounds = Bounds(done["number"] + 1 if done else 1, done["watermark"] if done else None, number)
+        before = self.spark.read.parquet(done["state"]) if done and done["state"] else None
+        return self.commit(bounds, *step(before))
 
 
 def latest_by_path(slice_: DataFrame, before: DataFrame | None) -> DataFrame:

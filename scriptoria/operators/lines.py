@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions import patterns as P
+from scriptoria.functions.similarity import nfkc
 from scriptoria.functions.text import collapse, strip
 
 ORDER = ["page", "idx"]
@@ -79,22 +80,23 @@ def header_kind(c: Column) -> Column:
 
 
 def assign_sections(lines: DataFrame) -> DataFrame:
-    """lines with section (ordinal), kind (of content) and is_key; header lines are left out.
+    """lines with section (ordinal), kind (of content), is_key and grouped; header lines are left out.
 
-    A key section belongs to the last content kind before it. A document without any header whose lines run
-    like questions (five stems, twice as many options) is one untyped MCQ section, its key lines included.
+    A key section belongs to the last content kind before it. A document without any header of content whose
+    lines before the first key run like questions (five stems, twice as many options) is one MCQ section of
+    chapters, its key sections included: these rows are `grouped`.
     """
     w = Window.partitionBy("document_id").orderBy(*ORDER)
     doc = Window.partitionBy("document_id")
     rows = lines.withColumn("_h", header_kind(F.col("text")))
     rows = rows.withColumn("section", F.count("_h").over(w)).withColumn("_last", F.last("_h", True).over(w))
     rows = rows.withColumn("kind", F.last(F.when(F.col("_h") != "answer_key", F.col("_h")), True).over(w)).withColumn("is_key", F.coalesce(F.col("_last") == "answer_key", F.lit(False)))
-    stems = F.sum(F.col("text").rlike(P.STEM).cast("int")).over(doc)
-    options = F.sum(F.col("text").rlike(P.OPTION).cast("int")).over(doc)
+    first = F.col("section") == 0
+    stems = F.sum((first & F.col("text").rlike(P.STEM)).cast("int")).over(doc)
+    options = F.sum((first & F.col("text").rlike(P.OPTION)).cast("int")).over(doc)
     typed = F.max((F.col("_h").isNotNull() & (F.col("_h") != "answer_key")).cast("int")).over(doc)
-    promoted = (typed == 0) & (stems >= 5) & (options >= 2 * stems)
-    rows = rows.withColumn("_p", promoted).withColumn("kind", F.when(F.col("_p") & F.col("kind").isNull(), "mcq").otherwise(F.col("kind")))
-    return rows.filter("_h is null").drop("_h", "_last", "_p")
+    rows = rows.withColumn("grouped", (typed == 0) & (stems >= 5) & (options >= 2 * stems)).withColumn("kind", F.when(F.col("grouped"), "mcq").otherwise(F.col("kind")))
+    return rows.filter("_h is null").drop("_h", "_last")
 
 
 def question_blocks(rows: DataFrame) -> DataFrame:
@@ -107,26 +109,32 @@ def question_blocks(rows: DataFrame) -> DataFrame:
 
 
 def chapter_groups(blocks: DataFrame) -> DataFrame:
-    """Blocks with chapter and label: numbering starts a chapter at 1 after a number other than 0 and 1.
+    """Blocks with chapter (from 1) and label: in a grouped section numbering starts a chapter at its first stem
+    and at 1 after a number other than 0 and 1. Other sections are one chapter without label.
 
-    The heading on the line before such a stem names the chapter and leaves its block.
+    The last text before such a stem names the chapter if it is a heading, and leaves its block.
     """
     w = Window.partitionBy("document_id", "section").orderBy(*ORDER)
     # the last line before a stem has the previous block's number
     before = F.lag("number").over(w)
-    starts = F.col("is_stem") & ((F.col("block") == 1) | ((F.col("number") == "1") & ~F.coalesce(before, F.lit("0")).isin("0", "1")))
+    starts = F.col("grouped") & F.col("is_stem") & ((F.col("block") == 1) | ((F.col("number") == "1") & ~F.coalesce(before, F.lit("0")).isin("0", "1")))
     rows = blocks.withColumn("_start", starts)
-    named = F.coalesce(F.lead("_start").over(w), F.lit(False)) & ~F.col("is_stem") & is_heading(F.col("text"))
-    rows = rows.withColumn("_named", named).withColumn("_label", F.when(F.col("_start") & F.coalesce(F.lag("_named").over(w), F.lit(False)), F.lag("text").over(w)))
+    named = F.coalesce(F.lead("_start").over(w), F.lit(False)) & is_heading(F.col("rest"))
+    rows = rows.withColumn("_named", named).withColumn("_label", F.when(F.col("_start") & F.coalesce(F.lag("_named").over(w), F.lit(False)), F.lag("rest").over(w)))
     rows = rows.withColumn("chapter", F.sum(F.col("_start").cast("int")).over(w))
     rows = rows.withColumn("label", F.first("_label", True).over(Window.partitionBy("document_id", "section", "chapter")))
-    return rows.filter("not _named").drop("_start", "_named", "_label")
+    return rows.filter("not _named or is_stem").withColumn("rest", F.when(F.col("_named"), "").otherwise(F.col("rest"))).drop("_start", "_named", "_label")
 
 
 def slug(c: Column) -> Column:
-    """Lower-case words joined by hyphens, at most 40 characters, x where nothing is left."""
-    made = F.regexp_replace(F.regexp_replace(F.lower(c), r"(?U)[\W_]+", "-"), "^-+|-+$", "")
-    return F.coalesce(F.nullif(F.regexp_replace(F.substring(made, 1, 40), "-+$", ""), F.lit("")), F.lit("x"))
+    """Lower-case ASCII words of the compatibility form joined by hyphens, at most 40 characters, x where nothing is left."""
+    made = F.regexp_replace(F.regexp_replace(F.lower(nfkc(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.when(c.isNotNull(), F.coalesce(F.nullif(F.substring(made, 1, 40), F.lit("")), F.lit("x")))
+
+
+def label_key(c: Column) -> Column:
+    """A chapter's label as it is compared with that of a key: letters and digits of ASCII in the compatibility form."""
+    return F.regexp_replace(F.lower(nfkc(c)), "[^a-z0-9]+", "")
 
 
 def _joined(items: Column) -> Column:
@@ -135,9 +143,10 @@ def _joined(items: Column) -> Column:
 
 
 def mcq_records(chapters: DataFrame) -> DataFrame:
-    """(question_id, document_id, section, chapter, label, number, question_text, options, pages, anomalies).
+    """(question_id, document_id, section, block, grouped, chapter, label, number, question_text, options, pages, anomalies).
 
-    The first option ends the stem; other lines after it belong to the option before them.
+    The first option ends the stem; other lines after it belong to the option before them. Ids carry the
+    chapter where a document has several.
     """
     w = Window.partitionBy("document_id", "section", "block").orderBy(*ORDER)
     rows = chapters.filter("kind = 'mcq' and block > 0").withColumn("_o", F.col("text").rlike(P.OPTION) & ~F.col("is_stem")).withColumn("opt", F.sum(F.col("_o").cast("int")).over(w))
@@ -146,56 +155,56 @@ def mcq_records(chapters: DataFrame) -> DataFrame:
         F.first(F.when(F.col("_o"), F.regexp_extract("text", P.OPTION, 1)), True).alias("olabel"),
         F.collect_list(F.when(F.col("rest") != "", F.struct("page", "idx", "rest"))).alias("items"),
         F.collect_set(F.when((F.col("rest") != "") | F.col("_o"), F.col("page"))).alias("pages"),
-        F.max("number").alias("number"), F.max("chapter").alias("chapter"), F.max("label").alias("label"),
+        F.max("number").alias("number"), F.max("chapter").alias("chapter"), F.max("label").alias("label"), F.bool_or("grouped").alias("grouped"),
     )
     q = part.groupBy("document_id", "section", "block").agg(
-        F.max("number").alias("number"), F.max("chapter").alias("chapter"), F.max("label").alias("label"),
+        F.max("number").alias("number"), F.max("chapter").alias("chapter"), F.max("label").alias("label"), F.bool_or("grouped").alias("grouped"),
         F.max(F.when(F.col("opt") == 0, _joined(F.col("items")))).alias("question_text"),
         F.array_sort(F.collect_list(F.when(F.col("opt") > 0, F.struct("opt", F.col("olabel").alias("label"), _joined(F.col("items")).alias("text"))))).alias("o"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("pages"),
     )
     many = F.max("chapter").over(Window.partitionBy("document_id", "section")) > 1
-    middle = F.when(many, F.concat(F.coalesce(slug(F.col("label")), F.concat(F.lit("g"), F.col("chapter"))), F.lit("-"))).otherwise("")
+    middle = F.when(many, F.concat(F.coalesce(slug(F.col("label")), F.concat(F.lit("g"), (F.col("chapter") - 1).cast("string"))), F.lit("-"))).otherwise("")
     labels = F.transform("o", lambda x: F.lower(x["label"]))
     odd = ~((F.size("o") == 4) | (F.array_join(labels, "") == "abcde"))
     return q.select(
-        F.concat("document_id", F.lit("-mcq-"), middle, "number").alias("question_id"), "document_id", "section", "chapter", "label", "number", F.coalesce("question_text", F.lit("")).alias("question_text"),
+        F.concat("document_id", F.lit("-mcq-"), middle, "number").alias("question_id"), "document_id", "section", "block", "grouped", "chapter", "label", "number", F.coalesce("question_text", F.lit("")).alias("question_text"),
         F.transform("o", lambda x: F.struct(x["label"].alias("label"), x["text"].alias("text"))).alias("options"), "pages",
         F.when(odd, F.array(F.concat(F.lit("unexpected_option_count:"), F.size("o").cast("string")))).otherwise(F.array().cast("array<string>")).alias("anomalies"),
     )
 
 
 def fill_in_records(blocks: DataFrame) -> DataFrame:
-    """(question_id, document_id, section, number, question_text, pages) of fill-in questions."""
+    """(question_id, document_id, section, block, number, question_text, pages) of fill-in questions."""
     q = blocks.filter("kind = 'fill_in_blank' and block > 0").groupBy("document_id", "section", "block").agg(F.max("number").alias("number"), _joined(F.collect_list(F.when(F.col("rest") != "", F.struct("page", "idx", "rest")))).alias("question_text"), F.array_sort(F.collect_set("page")).alias("pages"))
-    return q.select(F.concat("document_id", F.lit("-fib-"), "number").alias("question_id"), "document_id", "section", "number", "question_text", "pages")
+    return q.select(F.concat("document_id", F.lit("-fib-"), "number").alias("question_id"), "document_id", "section", "block", "number", "question_text", "pages")
 
 
 def matching_records(blocks: DataFrame) -> DataFrame:
-    """(question_id, document_id, section, number, question_text, pairs, anomalies) of matching questions.
+    """(question_id, document_id, section, block, number, question_text, pairs, pages, anomalies) of matching questions.
 
     A fold over the block's lines: a number line waits for a letter line; a second number line while one
     waits is dropped; plain lines join the stem until the first pair; what still waits is an anomaly.
     """
     item = F.struct("page", "idx", "is_stem", "rest")
-    q = blocks.filter("kind = 'matching' and block > 0").groupBy("document_id", "section", "block").agg(F.max("number").alias("number"), F.array_sort(F.collect_list(item)).alias("items"))
+    q = blocks.filter("kind = 'matching' and block > 0").groupBy("document_id", "section", "block").agg(F.max("number").alias("number"), F.array_sort(F.collect_list(item)).alias("items"), F.array_sort(F.collect_set(F.when(F.col("rest") != "", F.col("page")))).alias("pages"))
     pair = "struct<left_label:string,left_text:string,right_label:string,right_text:string>"
     start = F.struct(F.lit("").alias("stem"), F.array().cast(f"array<{pair}>").alias("pairs"), F.lit(None).cast("string").alias("n"), F.lit(None).cast("string").alias("t"))
-    left, right = r"^(\d{1,3})\s*[-.)]+\s*(.*)$", r"^([A-Za-z])\s*[-.)]+\s*(.*)$"
+    left, right = r"(?U)^(\d{1,2})\s*[-.)]\s*(.*)$", r"(?U)^([A-Za-z])\s*[-.)]\s*(.*)$"
 
     def step(acc: Column, x: Column) -> Column:
         s, waits = x["rest"], acc["n"].isNotNull()
-        skip = s.rlike(r"^\([ABab]\)$")
-        number = ~x["is_stem"] & ~skip & s.rlike(left)
-        letter = ~x["is_stem"] & ~skip & ~number & s.rlike(right) & waits
-        plain = x["is_stem"] | (~skip & ~s.rlike(left) & ~letter & (F.size(acc["pairs"]) == 0) & ~waits)
+        skip = s.isin("(A)", "(B)", "")
+        number = ~skip & s.rlike(left) & ~waits
+        letter = ~skip & s.rlike(right) & waits
+        plain = ~skip & ~number & ~letter & (F.size(acc["pairs"]) == 0) & ~waits
         made = F.struct(acc["n"].alias("left_label"), acc["t"].alias("left_text"), F.upper(F.regexp_extract(s, right, 1)).alias("right_label"), strip(F.regexp_extract(s, right, 2)).alias("right_text"))
         return F.struct(
             F.when(plain, F.concat_ws(" ", F.nullif(acc["stem"], F.lit("")), s)).otherwise(acc["stem"]).alias("stem"),
             F.when(letter, F.concat(acc["pairs"], F.array(made))).otherwise(acc["pairs"]).alias("pairs"),
-            F.when(letter, F.lit(None)).when(number & ~waits, F.regexp_extract(s, left, 1)).otherwise(acc["n"]).alias("n"),
-            F.when(letter, F.lit(None)).when(number & ~waits, strip(F.regexp_extract(s, left, 2))).otherwise(acc["t"]).alias("t"),
+            F.when(letter, F.lit(None)).when(number, F.regexp_extract(s, left, 1)).otherwise(acc["n"]).alias("n"),
+            F.when(letter, F.lit(None)).when(number, strip(F.regexp_extract(s, left, 2))).otherwise(acc["t"]).alias("t"),
         )
 
     q = q.withColumn("r", F.aggregate("items", start, step))
-    return q.select(F.concat("document_id", F.lit("-match-"), "number").alias("question_id"), "document_id", "section", "number", F.col("r.stem").alias("question_text"), F.col("r.pairs").alias("pairs"), F.when(F.col("r.n").isNotNull(), F.array(F.concat(F.lit("unpaired_left_item:"), "r.n"))).otherwise(F.array().cast("array<string>")).alias("anomalies"))
+    return q.select(F.concat("document_id", F.lit("-match-"), "number").alias("question_id"), "document_id", "section", "block", "number", F.col("r.stem").alias("question_text"), F.col("r.pairs").alias("pairs"), "pages", F.when(F.col("r.n").isNotNull(), F.array(F.concat(F.lit("unpaired_left_item:"), "r.n"))).otherwise(F.array().cast("array<string>")).alias("anomalies"))

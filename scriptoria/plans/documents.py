@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions import replies
 from scriptoria.operators import dedupe, keys, layouts, ledger, lines, quality
+from scriptoria.plans import questions
 from scriptoria.plans.registry import query
 from scriptoria.session import Scratch
 from scriptoria.sources import files
@@ -124,41 +125,48 @@ WITH {LINES}, {RUNNING}, {MARKED},
 h AS (SELECT document_id, page, idx, text, CASE WHEN regexp_full_match(text, '(?i)m\.?\s*c\.?\s*q''?s?\.?') THEN 'mcq' WHEN regexp_full_match(text, '(?i)fill\s+in\s+the\s+blanks?') THEN 'fill_in_blank' WHEN regexp_full_match(text, '(?i)(cross[\s-]*)?matching') THEN 'matching' WHEN regexp_full_match(text, '(?i)model\s+answers?') THEN 'answer_key' END AS h,
   regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AS stem, regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*') AS opt FROM m WHERE NOT furniture),
 w AS (SELECT *, count(h) OVER o AS section, last_value(h IGNORE NULLS) OVER o AS last, last_value(CASE WHEN h <> 'answer_key' THEN h END IGNORE NULLS) OVER o AS kind,
-  sum(CASE WHEN stem THEN 1 ELSE 0 END) OVER d AS stems, sum(CASE WHEN opt THEN 1 ELSE 0 END) OVER d AS opts, max(CASE WHEN h <> 'answer_key' THEN 1 ELSE 0 END) OVER d AS typed FROM h
-  WINDOW o AS (PARTITION BY document_id ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), d AS (PARTITION BY document_id))
-SELECT document_id, section, CASE WHEN kind IS NULL AND typed = 0 AND stems >= 5 AND opts >= 2 * stems THEN 'mcq' ELSE kind END AS kind, coalesce(last = 'answer_key', false) AS is_key, count(*) AS n_lines FROM w WHERE h IS NULL GROUP BY ALL
+  max(CASE WHEN h <> 'answer_key' THEN 1 ELSE 0 END) OVER (PARTITION BY document_id) AS typed FROM h
+  WINDOW o AS (PARTITION BY document_id ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT document_id FROM w WHERE section = 0 AND coalesce(typed, 0) = 0 GROUP BY document_id HAVING sum(CASE WHEN stem THEN 1 ELSE 0 END) >= 5 AND sum(CASE WHEN opt THEN 1 ELSE 0 END) >= 2 * sum(CASE WHEN stem THEN 1 ELSE 0 END))
+SELECT document_id, section, CASE WHEN document_id IN (SELECT document_id FROM g) THEN 'mcq' ELSE kind END AS kind, coalesce(last = 'answer_key', false) AS is_key, count(*) AS n_lines FROM w WHERE h IS NULL GROUP BY ALL
 """)
 def sections(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
     return rows.groupBy("document_id", "section", "kind", "is_key").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def segmented(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return questions.segment(section_rows(spark, d), Scratch(spark, "questions"))
+
+
 @query()
 def mcq_questions(spark: SparkSession, d: str) -> DataFrame:
     """Multiple-choice questions of all pages with their keys."""
-    rows = section_rows(spark, d)
-    records = lines.mcq_records(lines.chapter_groups(lines.question_blocks(rows)))
-    attached, _ = keys.attach_keys(records, keys.page_key_tokens(rows))
-    return attached.select("question_id", "document_id", "number", "question_text", F.size("options").alias("n_options"), "source_answer", F.array_join("anomalies", ";").alias("anomalies"))
+    q = segmented(spark, d)[0].filter("section_type = 'mcq'")
+    return q.select("question_id", "document_id", "number", "label", "question_text", F.size("options").alias("n_options"), "source_answer", F.array_join("anomalies", ";").alias("anomalies"))
 
 
 @query()
 def fill_in_questions(spark: SparkSession, d: str) -> DataFrame:
-    rows = section_rows(spark, d)
-    return lines.fill_in_records(lines.question_blocks(rows)).select("question_id", "document_id", "number", "question_text", F.array_join(F.transform("pages", lambda p: p.cast("string")), ",").alias("pages"))
+    q = segmented(spark, d)[0].filter("section_type = 'fill_in_blank'")
+    return q.select("question_id", "document_id", "number", "question_text", "source_answer", F.array_join(F.transform("pages", lambda p: p.cast("string")), ",").alias("pages"), F.array_join("anomalies", ";").alias("anomalies"))
 
 
 @query()
 def matching_questions(spark: SparkSession, d: str) -> DataFrame:
-    rows = section_rows(spark, d)
-    return lines.matching_records(lines.question_blocks(rows)).select("question_id", "document_id", "number", "question_text", F.size("pairs").alias("n_pairs"), F.array_join("anomalies", ";").alias("anomalies"))
+    q = segmented(spark, d)[0].filter("section_type = 'matching'")
+    return q.select("question_id", "document_id", "number", "question_text", F.size("pairs").alias("n_pairs"), "source_answer", F.array_join("anomalies", ";").alias("anomalies"))
 
 
 @query()
 def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
-    rows = section_rows(spark, d)
-    records = lines.mcq_records(lines.chapter_groups(lines.question_blocks(rows)))
-    return keys.attach_keys(records, keys.page_key_tokens(rows))[1]
+    return segmented(spark, d)[1]
+
+
+@query()
+def question_review_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """What every document is to be reviewed for, with how often."""
+    return questions.review_reasons(*segmented(spark, d)).groupBy("document_id", "reason").agg(F.count(F.lit(1)).alias("times"))
 
 
 @query()
@@ -169,7 +177,8 @@ def key_sequence_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def grouped_keys(spark: SparkSession, d: str) -> DataFrame:
-    return keys.grouped_key(lines.assign_sections(lines.content_lines(lines_of(spark, d))))
+    rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
+    return keys.grouped_entries(rows).select("document_id", "section", "key_label", "number", "answer", F.size("others").alias("conflicts"))
 
 
 @query("""

@@ -10,24 +10,27 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def build_session(app: str = "scriptoria", cores: str = "*", partitions: int = 8) -> SparkSession:
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
+def build_session(app: str = "scriptoria", cores: str = "*", partitions: int | None = None) -> SparkSession:
+    """The session of the cluster this was submitted to, with its own settings; a local one of `cores` elsewhere.
+
+    The number of shuffle partitions is set for a local session only (8 unless given); a cluster has its own, which
+    adaptive execution coalesces.
+    """
+    builder = SparkSession.builder.appName(app).config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC")
+    if "PYSPARK_GATEWAY_PORT" not in os.environ and "SPARK_REMOTE" not in os.environ:
+        builder = builder.master(f"local[{cores}]").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", str(partitions or 8))
+    elif partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is made only where none is named."""
+    """The cluster's shared folder. A temporary one is made only in local mode, where every task sees the same disk."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
     own = os.environ.get("SCRIPTORIA_LOCAL_SHARED")
     if not own:
         own = os.environ["SCRIPTORIA_LOCAL_SHARED"] = tempfile.mkdtemp(prefix="scriptoria-")
@@ -37,14 +40,19 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables that cut lineage: written once into the shared folder and read from there.
 
-    Every executor sees the folder, so a lost executor costs only its running tasks.
-    drop() removes a table that no later step reads.
+    Every executor sees the folder, so a lost executor costs only its running tasks. drop() removes a table that
+    no later step reads; a result that is still to be read holds the others, so the whole folder goes when the
+    application ends, or earlier with close().
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/scriptoria-{label}-{uuid.uuid4().hex[:12]}"
         self.count = 0
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         self.count += 1
@@ -64,6 +72,9 @@ class Scratch:
             if where:
                 delete_path(self.spark, where)
 
+    def close(self) -> None:
+        delete_path(self.spark, self.root)
+
 
 def delete_path(spark: SparkSession, where: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(where)

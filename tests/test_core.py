@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scriptoria.functions import replies
 from scriptoria.functions.similarity import nfkc, ratio, self_repeat_ratio
 from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, skew
+from scriptoria.plans import questions
 from scriptoria.session import Scratch
 from scriptoria.sources import files
 
@@ -85,9 +86,31 @@ def test_orphans(spark):
     rows = spark.createDataFrame(review, "question_id string, duplicate_of_question_id string, document_id string, profile_id string, exported_at timestamp, key int")
     sources = spark.createDataFrame([("d1", None), ("d1", None), ("d2", day(3)), ("d3", None)], "document_id string, removed_at timestamp")
     profiles = spark.createDataFrame([("P1",)], "profile_id string")
-    got = set(one(references.find_orphans(rows, sources, profiles), "ref_field", "question_id", "missing_key", "ref_month"))
+    store = lambda: incremental.CommitStore(spark, Scratch(spark, "o").path("s"))
+    got = set(one(references.find_orphans(rows, sources, profiles, store()), "ref_field", "question_id", "missing_key", "ref_month"))
     assert got == {("duplicate_of_question_id", "q2", "gone", "2026-01"), ("duplicate_of_question_id", None, "gone", "2026-01"), ("document_id", "q2", "d2", "2026-01"), ("profile_id", None, "p9", "2026-01")}
-    assert references.find_orphans(rows.limit(0), sources, profiles).count() == 0
+    assert references.find_orphans(rows.limit(0), sources, profiles, store()).count() == 0
+
+
+def test_kept_counts_follow_changes(spark):
+    review = [("q1", "q2", "d1", None, day(1)), ("q2", "q9", "d2", "p1", day(5)), ("q9", None, "d3", "p2", day(9)), ("q3", "none", "d1", None, None)]
+    rows = spark.createDataFrame(review, "question_id string, duplicate_of_question_id string, document_id string, profile_id string, exported_at timestamp")
+    sources = spark.createDataFrame([("d1", day(1), day(8)), ("d2", day(7), None), ("d3", day(1), day(2))], "document_id string, ingested_at timestamp, removed_at timestamp")
+    profiles = spark.createDataFrame([("p1", day(2)), ("p2", None)], "profile_id string, created_at timestamp")
+    store = incremental.CommitStore(spark, Scratch(spark, "o").path("s"))
+    got = set(one(references.orphan_counts_over_time(rows, sources, profiles, store), "step", "ref_field", "orphans", "references"))
+    assert got == {(1, "duplicate_of_question_id", 1, 1), (1, "document_id", 1, 1), (1, "profile_id", 0, 0), (2, "duplicate_of_question_id", 1, 1), (2, "document_id", 2, 3), (2, "profile_id", 0, 0)}
+    before = store.last()
+    assert store.apply(2, references.orphan_step([])) == before  # a run that is repeated changes nothing
+
+
+def test_rows_without_number_come_once(spark):
+    store = incremental.CommitStore(spark, Scratch(spark, "i").path("s"))
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "x"), (None, "x")], "n bigint, v string")
+    took = lambda df: sorted(one(spark.read.parquet(store.run(df, "n", lambda part, before: (part, None))["output"]), "v"))
+    assert took(rows) == [("a",), ("b",), ("x",)]
+    assert took(rows) == []
+    assert took(rows.unionByName(spark.createDataFrame([(None, "y"), (3, "c")], "n bigint, v string"))) == [("c",), ("y",)]
 
 
 def test_signed_deltas_follow_late_targets(spark):
@@ -108,7 +131,7 @@ def test_salted_join_equals_join(spark, monkeypatch):
     right = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("k0", "c"), (None, "d")], "k string, v string")
     for how in ("inner", "left", "left_semi", "left_anti"):
         assert sorted(map(str, skew.salted_join(left, right, "k", how).collect())) == sorted(map(str, left.join(right, "k", how).collect()))
-    assert skew.hot_keys(left, "k") == ["hot"]
+    assert one(skew.hot_keys(left, "k"), "k") == [("hot",)] and skew.hot_keys(right, "k") is None
 
 
 # text gate
@@ -145,17 +168,23 @@ def content(spark, rows):
     return lines.assign_sections(lines.content_lines(lines.mark_furniture(df, lines.running_lines(df))))
 
 
+def segmented(spark, rows):
+    q, unmatched, notes = questions.segment(content(spark, rows), Scratch(spark, "tq"))
+    return {r.question_id: r for r in q.collect()}, set(one(unmatched, "raw_token", "raw_value", "section_type", "page")), set(one(notes, "anomaly"))
+
+
 def test_headered_document(spark):
-    rows = content(spark, D1)
-    blocks = lines.question_blocks(rows)
-    records = lines.mcq_records(lines.chapter_groups(blocks))
-    attached, unmatched = keys.attach_keys(records, keys.page_key_tokens(rows))
-    got = {r.question_id: (r.question_text, [tuple(o) for o in r.options], r.source_answer, r.pages, r.anomalies) for r in attached.collect()}
-    assert got["D1-mcq-1"] == ("Which bone is longest?", [("a", "Femur"), ("b", "Tibia"), ("c", "Ulna"), ("d", "Radius")], "a", [1], [])
-    assert got["D1-mcq-2"][:3] == ("The heart has four parts called:", [("a", "lobes"), ("b", "chambers of muscle"), ("c", "valves"), ("d", "veins")], "b")
-    assert got["D1-mcq-3"][2:] == ("c", [2], ["unexpected_option_count:3"])
-    assert one(unmatched, "raw_token", "raw_value", "page") == [("9", "d", 2)]
-    assert one(lines.fill_in_records(blocks), "question_id", "question_text", "pages") == [("D1-fib-1", "The study of cells is ....", [2])]
+    q, unmatched, notes = segmented(spark, D1)
+    got = {k: (r.question_text, [tuple(o) for o in r.options], r.source_answer, r.pages, r.anomalies) for k, r in q.items()}
+    assert got == {
+        "D1-mcq-1": ("Which bone is longest?", [("a", "Femur"), ("b", "Tibia"), ("c", "Ulna"), ("d", "Radius")], "a", [1], []),
+        "D1-mcq-2": ("The heart has four parts called:", [("a", "lobes"), ("b", "chambers of muscle"), ("c", "valves"), ("d", "veins")], "b", [1], []),
+        "D1-mcq-3": ("Stem without d", [("a", "x"), ("b", "y"), ("c", "z")], "c", [2], ["unexpected_option_count:3"]),
+        "D1-fib-1": ("The study of cells is ....", [], "Cytology", [2], []),
+    }
+    assert unmatched == {("9", "d", "mcq", 2)} and notes == set()
+    reasons = questions.review_reasons(*questions.segment(content(spark, D1), Scratch(spark, "tq")))
+    assert set(one(reasons, "reason")) == {("D1-mcq-3:unexpected_option_count:3",), ("unmatched_answer_key:9@p2",)}
 
 
 def grouped_document():
@@ -165,13 +194,27 @@ def grouped_document():
 
 
 def test_chapters_and_grouped_key(spark):
-    rows = content(spark, grouped_document())
-    records = lines.mcq_records(lines.chapter_groups(lines.question_blocks(rows)))
-    got = {r.question_id: r.options[-1].text for r in records.collect()}
-    assert got == {f"D2-mcq-{g}-{n}": "option d" for g, k in (("spinal-cord", 3), ("brain-stem", 2)) for n in range(1, k + 1)}
-    assert set(one(keys.grouped_key(rows), "label", "number", "answer")) == {("Spinal cord", "1", "a"), ("Spinal cord", "2", "b"), ("Spinal cord", "3", "a & c"), ("Brain stem", "1", "d"), ("Brain stem", "7", "a")}
-    labels = spark.createDataFrame([("D2", "Spinal cord."), ("D2", "Brain stm"), ("D2", "Liver")], "document_id string, label string")
-    assert set(one(keys.match_labels(labels, records), "key_label", "content_label")) == {("Spinal cord.", "Spinal cord"), ("Brain stm", "Brain stem")}
+    q, unmatched, notes = segmented(spark, grouped_document())
+    assert {k: r.source_answer for k, r in q.items()} == {"D2-mcq-spinal-cord-1": "a", "D2-mcq-spinal-cord-2": "b", "D2-mcq-spinal-cord-3": "a & c", "D2-mcq-brain-stem-1": "d", "D2-mcq-brain-stem-2": None}
+    assert all(r.options[-1].text == "option d" and not r.anomalies for r in q.values())
+    assert unmatched == {("Brain stem:7", "a", "mcq", 1)} and notes == set()
+
+
+def test_chapters_with_other_labels(spark):
+    (doc, page, text), = grouped_document()
+    text = text.replace("Model answer\nSpinal cord\n", "Model answer\nSpinal cords\n2-c\n").replace("Brain stem\n1-d", "Liver\n1-d").replace("Brain stem", "Bráin ﬁeld")
+    q, unmatched, notes = segmented(spark, [(doc, page, text)])
+    assert {k: r.source_answer for k, r in q.items()} == {"D2-mcq-spinal-cord-1": "a", "D2-mcq-spinal-cord-2": "c", "D2-mcq-spinal-cord-3": "a & c", "D2-mcq-br-in-field-1": None, "D2-mcq-br-in-field-2": None}
+    assert notes == {("answer_key_group_unmatched:Liver",), ("no_answer_key_for_group:Bráin ﬁeld",), ("answer_key_repeat_conflict:Spinal cords-2:c_vs_b",)}
+    _, labels = None, spark.createDataFrame([("d", "spinalcord"), ("d", "liver")], "document_id string, label_key string")
+    assert set(one(keys.match_labels(spark.createDataFrame([("d", "spinalcords"), ("d", "lung"), (None, "x")], "document_id string, label_key string"), labels), "label_key", "content_key")) == {("spinalcords", "spinalcord")}
+
+
+def test_conflicting_keys_of_sections(spark):
+    text = "M.C.Q's\n1- One?\na- p\nb- q\nc- r\nd- s\nModel answers\n1-a\nM.C.Q's\n2- Two?\na- p\nb- q\nc- r\nd- s\nModel answers\n1-b 2-c so-d 2-d"
+    q, unmatched, _ = segmented(spark, [("D6", 1, text)])
+    assert {k: (r.source_answer, r.anomalies) for k, r in q.items()} == {"D6-mcq-1": ("b", ["conflicting_answer_key_value:a_vs_b"]), "D6-mcq-2": ("d", [])}
+    assert unmatched == {("so", "d", "mcq", 1)}
 
 
 @pytest.mark.parametrize(("extra", "anomalies"), [("", []), ("3- Lateral\n", ["unpaired_left_item:3"])])
@@ -181,6 +224,19 @@ def test_matching(spark, extra, anomalies):
     assert r.question_text == "Match the item in (A) with (B):" and [tuple(p) for p in r.pairs] == [("1", "Supine", "A", "Lying face up"), ("2", "Prone", "B", "Lying face down")] and r.anomalies == anomalies
 
 
+@pytest.mark.parametrize(("key", "answers", "ambiguous", "left"), [
+    ("(1) (2)\n1-A 1-B 2-C", {"D4-match-1": "1-A,2-C", "D4-match-2": "1-B"}, set(), set()),
+    ("(1) (2)\n1-A 1-B", {"D4-match-1": "1-A", "D4-match-2": "1-B"}, {"D4-match-1", "D4-match-2"}, set()),
+    ("9-Z (1)\n1-A 2-C\n(2)\n1-B (3) 1-D", {"D4-match-1": "1-A,2-C", "D4-match-2": "1-B"}, set(), {("(3)", "1-D", "matching", 1)}),
+    ("no key", {"D4-match-1": None, "D4-match-2": None}, set(), set()),
+])
+def test_matching_keys(spark, key, answers, ambiguous, left):
+    text = f"Cross matching\n1- Match one:\n1- p\nA- x\n2- q\nC- y\n2- Match two:\n1- r\nB- z\nModel answers\n{key}"
+    q, unmatched, _ = segmented(spark, [("D4", 1, text)])
+    assert {k: r.source_answer for k, r in q.items()} == answers and unmatched == left
+    assert {k for k, r in q.items() if r.anomalies} == ambiguous
+
+
 def test_round_robin(spark):
     batches = [("a", [("1", 2), ("2", 1)], ["1-A", "1-B", "2-C"]), ("b", [("1", 2), ("2", 1)], ["1-A", "1-B"]), ("c", [("1", None)], []), ("d", [], ["1-A"])]
     df = spark.createDataFrame(batches, "batch_id string, expected array<struct<grp:string,n:int>>, tokens array<string>")
@@ -206,10 +262,17 @@ def test_running_lines_need_pages_and_share(spark):
 
 
 def test_duplicate_resolution(spark):
-    rows = [("q3", 1, "What is the longest bone of the body?", [1]), ("q3", 2, "What is the longest bone of the body", [4]), ("q3", 3, "Name two enzymes", [5]), ("q4", 1, None, [6])]
-    got = {r.question_id: (r.pages, r.anomalies) for r in dedupe.resolve_duplicates(spark.createDataFrame(rows, "question_id string, ord int, question_text string, pages array<int>")).collect()}
-    assert set(got) == {"q3", "q3~conflict1", "q4"} and got["q3"][0] == [1, 4] and got["q4"] == ([6], [])
-    assert got["q3"][1][0].startswith("duplicate_question_merged:sim_0.9") and got["q3"][1][1].endswith("conflicts_with=q3~conflict1") and got["q3~conflict1"][1][0].endswith("conflicts_with=q3")
+    option = "\n".join(f"{x}- option {x}" for x in "abcd")
+    same, other = f"3- What is the longest bone?\n{option}", f"3- Name two enzymes of the liver\n{option}"
+    q, _, notes = segmented(spark, [("D5", 1, f"M.C.Q's\n{same}"), ("D5", 4, f"{same}\n{other}\nModel answers\n3-a")])
+    assert {k: (r.pages, r.number, r.source_answer) for k, r in q.items()} == {"D5-mcq-3": ([1, 4], "3", "a"), "D5-mcq-3~conflict1": ([4], "3~conflict1", None)}
+    assert q["D5-mcq-3"].anomalies[0] == "duplicate_question_merged:sim_1.00" and q["D5-mcq-3"].anomalies[1].endswith("conflicts_with=D5-mcq-3~conflict1")
+    assert q["D5-mcq-3~conflict1"].anomalies[0].endswith("conflicts_with=D5-mcq-3") and notes == {("mcq_q3_conflicting_duplicates",)}
+
+
+def test_questions_of_empty_and_untyped_pages(spark):
+    q, unmatched, notes = segmented(spark, [("D8", 1, "only some prose\nof no kind"), ("D9", 1, None), (None, 1, "x"), ("D9", 2, "")])
+    assert not q and not unmatched and ("no_sections_detected",) in notes
 
 
 def test_blocks_copies_and_similarity(spark):
