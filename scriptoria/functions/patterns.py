@@ -31,7 +31,9 @@ ANY_KEY_LINE = r"^[\s|:\-.&,a-fA-F0-9)(]+$"
 ANY_KEY_TOKEN = r"(?U)(?<!\w)\d{1,3}\s*[-.):|]?\s*[a-fA-F](?:\s*[&,]\s*[a-fA-F])*(?!\w)"
 INLINE_ANSWER = r"(?i)^(?:correct\s+answer|answer|ans|key)\s*[:.\-=)]*\s*\(?[a-f](?:\s*[&,]\s*[a-f])*\)?\.?\s*$"
 KEY_HEADER = r"(?i)^(?:model\s+)?(?:answers?|answer\s+key|key|solutions?)(?:\s+sheet)?$"
-KIND_HINTS = {"mcq": r"(?i)m\.?\s*c\.?\s*q|multiple\s+choice|choose", "fill_in_blank": r"(?i)fill\s+in|blank|complete", "matching": r"(?i)match"}
+ANY_HEADER = r"(?i)^(?:m\.?\s*c\.?\s*q'?s?|fill in the blanks?|(?:cross[\s-]*)?matching)$"
+LEAD_MARK = r"(?i)^\(?\[?(?:q(?:uestion)?\s*)?[0-9a-h]{1,3}\s*[-.):·\]]+\s*"
+MARK_ANYWHERE = r"(?i)[*✓✔]|\(correct\)"
 MARKS = ("*", "✓", "✔", "(correct)")
 
 # Candidate styles of stems (prefix, opening, closer) and options (case, opening, closer).

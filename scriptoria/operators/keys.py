@@ -45,17 +45,17 @@ def numbered_entries(tokens: DataFrame) -> DataFrame:
     return tokens.filter(F.col("number") != "so").groupBy("document_id", "section", "number").agg(F.max_by("answer", F.struct("page", "ord")).alias("answer"), F.max("page").alias("page"))
 
 
-def fill_in_entries(rows: DataFrame) -> DataFrame:
+def fill_in_entries(rows: DataFrame, stem_pattern: str = P.STEM) -> DataFrame:
     """(document_id, section, number, answer, page): numbered texts of the key sections of fill-in questions; page is the section's first."""
     w = Window.partitionBy("document_id", "section").orderBy("page", "idx")
-    key = rows.filter("is_key and kind = 'fill_in_blank'").withColumn("_s", F.col("text").rlike(P.STEM)).withColumn("block", F.sum(F.col("_s").cast("int")).over(w)).withColumn("_p", F.first("page").over(w))
-    key = key.withColumn("rest", F.when(F.col("_s"), strip(F.regexp_extract("text", P.STEM, 2))).otherwise(F.col("text"))).withColumn("number", F.when(F.col("_s"), F.regexp_extract("text", P.STEM, 1)))
+    key = rows.filter("is_key and kind = 'fill_in_blank'").withColumn("_s", F.col("text").rlike(stem_pattern)).withColumn("block", F.sum(F.col("_s").cast("int")).over(w)).withColumn("_p", F.first("page").over(w))
+    key = key.withColumn("rest", F.when(F.col("_s"), strip(F.regexp_extract("text", stem_pattern, 2))).otherwise(F.col("text"))).withColumn("number", F.when(F.col("_s"), F.regexp_extract("text", stem_pattern, 1)))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("rest") != "", F.struct("page", "idx", "rest")))), lambda x: x["rest"]), " ")
     blocks = key.filter("block > 0").groupBy("document_id", "section", "block").agg(F.max("number").alias("number"), text.alias("answer"), F.max("_p").alias("page")).filter("answer <> ''")
     return blocks.groupBy("document_id", "section", "number").agg(F.max_by("answer", "block").alias("answer"), F.max("page").alias("page"))
 
 
-def grouped_entries(rows: DataFrame) -> DataFrame:
+def grouped_entries(rows: DataFrame, line_pattern: str = P.KEY_LINE, token_pattern: str = P.GROUPED_KEY_TOKEN, heading: Column | None = None) -> DataFrame:
     """(document_id, section, key_label, label_key, ord, number, answer, others, page) of the key sections of chapters.
 
     Lines made of key characters count for the heading before them, also across pages; an entry may span such
@@ -63,12 +63,12 @@ def grouped_entries(rows: DataFrame) -> DataFrame:
     the later ones that differ. page is the section's first; ord the order of labels.
     """
     w = Window.partitionBy("document_id", "section").orderBy("page", "idx")
-    key_line = F.col("text").rlike(P.KEY_LINE) & F.col("text").rlike("[0-9]")
-    marked = rows.filter("is_key and grouped").withColumn("_k", key_line).withColumn("_l", F.when(~F.col("_k") & is_heading(F.col("text")), F.col("text")))
+    key_line = F.col("text").rlike(line_pattern) & F.col("text").rlike("[0-9]")
+    marked = rows.filter("is_key and grouped and kind = 'mcq'").withColumn("_k", key_line).withColumn("_l", F.when(~F.col("_k") & (is_heading(F.col("text")) if heading is None else heading), F.col("text")))
     marked = marked.withColumn("label", F.last("_l", True).over(w)).withColumn("run", F.count("_l").over(w)).withColumn("_p", F.first("page").over(w))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "idx", "text"))), lambda x: x["text"]), " ")
     runs = marked.filter("_k and label is not null").groupBy("document_id", "section", "run", "label").agg(text.alias("t"), F.max("_p").alias("page"))
-    pairs = F.arrays_zip(F.regexp_extract_all("t", F.lit(P.GROUPED_KEY_TOKEN), 1).alias("number"), F.regexp_extract_all("t", F.lit(P.GROUPED_KEY_TOKEN), 2).alias("answer"))
+    pairs = F.arrays_zip(F.regexp_extract_all("t", F.lit(token_pattern), 1).alias("number"), F.regexp_extract_all("t", F.lit(token_pattern), 2).alias("answer"))
     found = runs.select("document_id", "section", "page", F.col("label").alias("key_label"), label_key(F.col("label")).alias("label_key"), F.col("run").alias("r"), F.posexplode(pairs).alias("o", "x"))
     found = found.select("document_id", "section", "page", "key_label", "label_key", F.struct("r", "o").alias("at"), "x.number", F.lower(F.regexp_replace("x.answer", r"(?U)\s+", " ")).alias("answer"))
     out = found.groupBy("document_id", "section", "label_key", "number").agg(

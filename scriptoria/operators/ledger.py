@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +52,73 @@ def merge_intervals(rows: DataFrame, key: list[str], begin: str, end: str) -> Da
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_new", F.coalesce((F.col(begin) > before).cast("int"), F.lit(1))).withColumn("span", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(*key, "span").agg(F.min(begin).alias(begin), F.max(end).alias(end))
+
+
+#: Dimensions of a model's limits and their windows in seconds.
+WINDOWS = {"rpm": 60.0, "rpd": 86400.0, "tpm": 60.0, "tpd": 86400.0}
+
+
+def budget_waits(requests: DataFrame, levels: DataFrame, cooldowns: DataFrame, models: list[tuple[str, float, float, float, float]], margin: float = 0.9) -> DataFrame:
+    """(request, model, priority, wait): seconds until each model can take each request.
+
+    requests(request, now, tokens), levels(model, dim, level, at), cooldowns(model, until); times in seconds.
+    models: (name, rpm, rpd, tpm, tpd) in order of priority. A request costs one in the first two dimensions and
+    its tokens in the others. The wait is the longest over the dimensions and the cool-down, infinite if it never fits.
+    """
+    caps = [F.struct(F.lit(m[0]).alias("model"), F.lit(k).alias("priority"), F.lit(dim).alias("dim"), F.lit(float(cap)).alias("cap"), F.lit(WINDOWS[dim]).alias("window_s")) for k, m in enumerate(models) for dim, cap in zip(WINDOWS, m[1:])]
+    last = levels.groupBy("model", "dim").agg(F.max_by("level", "at").alias("level"), F.max("at").alias("at"))
+    rows = requests.withColumn("m", F.explode(F.array(*caps))).select("request", "now", "tokens", "m.*").join(last, ["model", "dim"], "left")
+    need = F.when(F.col("dim").isin("rpm", "rpd"), F.lit(1.0)).otherwise(F.col("tokens").cast("double"))
+    cap = F.col("cap") * F.lit(margin)
+    level = F.greatest(F.lit(0.0), F.coalesce("level", F.lit(0.0)) - F.greatest(F.lit(0.0), F.col("now") - F.coalesce("at", "now")) * F.col("cap") / F.col("window_s"))
+    fits = F.when(need > cap, F.lit(float("inf"))).otherwise(F.greatest(F.lit(0.0), (level + need - cap) * F.col("window_s") / F.col("cap")))
+    worst = rows.groupBy("request", "model").agg(F.max("priority").alias("priority"), F.max(fits).alias("wait"), F.max("now").alias("now"))
+    cold = cooldowns.groupBy("model").agg(F.max("until").alias("until"))
+    return worst.join(cold, "model", "left").select("request", "model", "priority", F.greatest("wait", F.coalesce("until", F.lit(0.0)) - F.col("now")).alias("wait"))
+
+
+def route_calls(calls: DataFrame, models: list[tuple[str, float, float, float, float]], refuse: dict[str, int] | None = None, retry_after: float = 300.0, prefer_s: float = 20.0, most_s: float = 120.0, margin: float = 0.9) -> DataFrame:
+    """calls(session, n, at, prompt, reserve, used) -> (session, n, model, started, waited): which model takes each call.
+
+    models: (name, rpm, rpd, tpm, tpd) in order of priority. The first whose wait is at most prefer_s takes the
+    call, after that wait; else the soonest, if within most_s; else none (model null). A call is charged one
+    request, prompt + reserve tokens of the minute and the tokens used of the day. refuse: calls a server takes
+    of a model before it answers "too many" once more; the model is then cool for retry_after seconds and the
+    next takes the call. A session's calls depend on each other: one fold over each session, in order.
+    """
+    refuse = refuse or {}
+    windows = list(WINDOWS.values())
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        level = {m[0]: [0.0] * 4 for m in models}
+        at = {m[0]: [0.0] * 4 for m in models}
+        cool, taken, clock, out = {}, {}, 0.0, []
+        for r in pdf.sort_values("n").itertuples():
+            clock = max(clock, float(r.at))
+            begun, chosen = clock, None
+            while chosen is None:
+                waits = []
+                for order, (name, *caps) in enumerate(models):
+                    wait = max(0.0, cool.get(name, 0.0) - clock)
+                    for k, need in enumerate((1.0, 1.0, float(r.prompt + r.reserve), float(max(r.used, r.prompt + r.reserve)))):
+                        cap = caps[k] * margin
+                        now = max(0.0, level[name][k] - (clock - at[name][k]) * caps[k] / windows[k])
+                        wait = max(wait, float("inf") if need > cap else (now + need - cap) * windows[k] / caps[k])
+                    waits.append((wait, order, name, caps))
+                ready = [w for w in waits if w[0] <= prefer_s]
+                wait, _, name, caps = ready[0] if ready else min(waits)
+                if wait > most_s:
+                    break
+                clock += max(0.0, wait)
+                if name in refuse and taken.get(name, 0) >= refuse[name]:
+                    cool[name], taken[name] = clock + retry_after, 0
+                    continue
+                taken[name] = taken.get(name, 0) + 1
+                for k, cost in enumerate((1.0, 1.0, float(r.prompt + r.reserve), float(r.used))):
+                    level[name][k] = max(0.0, level[name][k] - (clock - at[name][k]) * caps[k] / windows[k]) + cost
+                    at[name][k] = clock
+                chosen = name
+            out.append((r.session, int(r.n), chosen, clock if chosen else None, clock - begun))
+        return pd.DataFrame(out, columns=["session", "n", "model", "started", "waited"])
+
+    return calls.groupBy("session").applyInPandas(fold, "session string, n bigint, model string, started double, waited double")

@@ -99,27 +99,28 @@ def assign_sections(lines: DataFrame) -> DataFrame:
     return rows.filter("_h is null").drop("_h", "_last")
 
 
-def question_blocks(rows: DataFrame) -> DataFrame:
+def question_blocks(rows: DataFrame, stem_pattern: str = P.STEM) -> DataFrame:
     """Content rows with block (0 before the first stem), number, rest: the stem's number and text."""
     w = Window.partitionBy("document_id", "section").orderBy(*ORDER)
-    stem = F.when(F.col("kind") == "matching", F.col("text").rlike(P.MATCHING_STEM)).otherwise(F.col("text").rlike(P.STEM))
+    stem = F.when(F.col("kind") == "matching", F.col("text").rlike(P.MATCHING_STEM)).otherwise(F.col("text").rlike(stem_pattern))
     out = rows.filter("not is_key and kind is not null").withColumn("is_stem", stem).withColumn("block", F.sum(F.col("is_stem").cast("int")).over(w))
-    number = F.when(F.col("is_stem"), F.regexp_extract("text", P.STEM, 1))
-    return out.withColumn("number", F.last(number, True).over(w)).withColumn("rest", F.when(F.col("is_stem"), strip(F.regexp_extract("text", P.STEM, 2))).otherwise(F.col("text")))
+    part = lambda k: F.when(F.col("kind") == "matching", F.regexp_extract("text", P.MATCHING_STEM, k)).otherwise(F.regexp_extract("text", stem_pattern, k))
+    return out.withColumn("number", F.last(F.when(F.col("is_stem"), part(1)), True).over(w)).withColumn("rest", F.when(F.col("is_stem"), strip(part(2))).otherwise(F.col("text")))
 
 
-def chapter_groups(blocks: DataFrame) -> DataFrame:
+def chapter_groups(blocks: DataFrame, heading: Column | None = None) -> DataFrame:
     """Blocks with chapter (from 1) and label: in a grouped section numbering starts a chapter at its first stem
     and at 1 after a number other than 0 and 1. Other sections are one chapter without label.
 
-    The last text before such a stem names the chapter if it is a heading, and leaves its block.
+    The last text before such a stem names the chapter if it is a heading, and leaves its block. heading: another
+    test of the column rest for that.
     """
     w = Window.partitionBy("document_id", "section").orderBy(*ORDER)
     # the last line before a stem has the previous block's number
     before = F.lag("number").over(w)
     starts = F.col("grouped") & F.col("is_stem") & ((F.col("block") == 1) | ((F.col("number") == "1") & ~F.coalesce(before, F.lit("0")).isin("0", "1")))
     rows = blocks.withColumn("_start", starts)
-    named = F.coalesce(F.lead("_start").over(w), F.lit(False)) & is_heading(F.col("rest"))
+    named = F.coalesce(F.lead("_start").over(w), F.lit(False)) & (is_heading(F.col("rest")) if heading is None else heading)
     rows = rows.withColumn("_named", named).withColumn("_label", F.when(F.col("_start") & F.coalesce(F.lag("_named").over(w), F.lit(False)), F.lag("rest").over(w)))
     rows = rows.withColumn("chapter", F.sum(F.col("_start").cast("int")).over(w))
     rows = rows.withColumn("label", F.first("_label", True).over(Window.partitionBy("document_id", "section", "chapter")))
@@ -149,10 +150,10 @@ def mcq_records(chapters: DataFrame) -> DataFrame:
     chapter where a document has several.
     """
     w = Window.partitionBy("document_id", "section", "block").orderBy(*ORDER)
-    rows = chapters.filter("kind = 'mcq' and block > 0").withColumn("_o", F.col("text").rlike(P.OPTION) & ~F.col("is_stem")).withColumn("opt", F.sum(F.col("_o").cast("int")).over(w))
-    rows = rows.withColumn("rest", F.when(F.col("_o"), strip(F.regexp_extract("text", P.OPTION, 2))).otherwise(F.col("rest")))
+    rows = chapters.filter("kind = 'mcq' and block > 0").withColumn("_o", F.col("rest").rlike(P.OPTION)).withColumn("opt", F.sum(F.col("_o").cast("int")).over(w))
+    rows = rows.withColumn("_l", F.when(F.col("_o"), F.regexp_extract("rest", P.OPTION, 1))).withColumn("rest", F.when(F.col("_o"), strip(F.regexp_extract("rest", P.OPTION, 2))).otherwise(F.col("rest")))
     part = rows.groupBy("document_id", "section", "block", "opt").agg(
-        F.first(F.when(F.col("_o"), F.regexp_extract("text", P.OPTION, 1)), True).alias("olabel"),
+        F.max("_l").alias("olabel"),
         F.collect_list(F.when(F.col("rest") != "", F.struct("page", "idx", "rest"))).alias("items"),
         F.collect_set(F.when((F.col("rest") != "") | F.col("_o"), F.col("page"))).alias("pages"),
         F.max("number").alias("number"), F.max("chapter").alias("chapter"), F.max("label").alias("label"), F.bool_or("grouped").alias("grouped"),

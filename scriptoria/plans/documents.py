@@ -292,14 +292,81 @@ def layout_matches(spark: SparkSession, d: str) -> DataFrame:
     return layouts.match_layouts(sigs, layouts.layout_classes(sigs).filter("documents >= 2"))
 
 
+def stored_questions(spark: SparkSession, d: str) -> DataFrame:
+    """The last export of every question in the form of extracted ones."""
+    q = questions_once(spark, d)
+    none = F.lit(None).cast("string")
+    return q.select("question_id", "document_id", "section_type", F.col("group_label").alias("label"), F.col("question_number").alias("number"), "question_text", "options", F.col("matching_pairs").alias("pairs"), "source_answer", "anomalies", none.alias("first_ref"), none.alias("last_ref"))
+
+
+def stored_report(spark: SparkSession, d: str) -> DataFrame:
+    marked = Scratch(spark, "validation").cut(lines_of(spark, d), "lines")
+    q = Scratch(spark, "validation").cut(stored_questions(spark, d), "questions")
+    return layouts.validation_report(q, marked, layouts.layout_features(marked), q.select("document_id").limit(0))
+
+
 @query()
 def validation_checks(spark: SparkSession, d: str) -> DataFrame:
-    return layouts.validation_report(questions_once(spark, d), lines_of(spark, d))
+    return stored_report(spark, d)
 
 
 @query()
 def validation_scores(spark: SparkSession, d: str) -> DataFrame:
-    return layouts.report_scores(layouts.validation_report(questions_once(spark, d), lines_of(spark, d)))
+    return layouts.report_scores(stored_report(spark, d))
+
+
+#: The layout of the banks with headers, as one of the closed grammar.
+BANK = layouts.Layout(
+    stem=layouts.Marker("number", "", "", "-.)"), option=layouts.Marker("both", "", "", "-.)"), key_mode="section", separators="-.",
+    headers={"M.C.Q's": "mcq", "Multiple choice questions": "mcq", "Fill in the blanks": "fill_in_blank", "Cross matching": "matching", "Matching": "matching", "Model answers": "answer_key", "Model answer": "answer_key"},
+)
+
+
+def bank_extraction(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    scratch = Scratch(spark, "bank")
+    marked = scratch.cut(lines_of(spark, d), "lines")
+    return (marked, *questions.extract_with_layout(marked, BANK, scratch))
+
+
+@query()
+def layout_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Questions that the layout of the banks finds in all pages."""
+    q = bank_extraction(spark, d)[1]
+    return q.select("question_id", "document_id", "section_type", "number", "question_text", F.size("options").alias("n_options"), "source_answer", F.array_join("anomalies", ";").alias("anomalies"), "first_ref", "last_ref")
+
+
+@query()
+def layout_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """What documents are to be reviewed for after that, with how often."""
+    _, q, unmatched, notes = bank_extraction(spark, d)
+    return questions.review_reasons(q, unmatched, notes).groupBy("document_id", "reason").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query()
+def layout_choice(spark: SparkSession, d: str) -> DataFrame:
+    """For each document the better of the built-in rules and the layout of the banks, where that applies."""
+    scratch = Scratch(spark, "choice")
+    marked, q, unmatched, _ = bank_extraction(spark, d)
+    features = scratch.cut(layouts.layout_features(marked), "features")
+    fits = layouts.applicable(marked, BANK).filter("applies").select("document_id")
+    mine, lost, _ = questions.segment(scratch.cut(lines.assign_sections(lines.content_lines(marked)), "rows"), scratch)
+    none = F.lit(None).cast("string")
+    scored = lambda qs, un, name: layouts.report_scores(layouts.validation_report(qs, marked, features, un)).withColumn("candidate", F.lit(name))
+    both = scored(mine.withColumn("first_ref", none).withColumn("last_ref", none), lost, "builtin").unionByName(scored(q, unmatched, "bank").join(fits, "document_id", "left_semi"))
+    return layouts.best_candidates(scratch.cut(both, "scores"))
+
+
+@query(rf"""
+WITH {LINES}, {RUNNING}, {MARKED}, c AS (SELECT document_id, norm, count(*) AS n, min((page, idx)) AS at FROM m WHERE NOT furniture AND (
+  regexp_matches(norm, '(?i)^(?:model\s+)?(?:answers?|answer\s+key|key|solutions?)(?:\s+sheet)?$') OR regexp_matches(norm, '(?i)^(?:m\.?\s*c\.?\s*q''?s?|fill in the blanks?|(?:cross[\s-]*)?matching)$')
+  OR (len(string_split(trim(regexp_replace(text, '[\s\p{{Z}}-]+', ' ', 'g')), ' ')) BETWEEN 1 AND 8 AND NOT regexp_matches(text, '\p{{Nd}}') AND regexp_matches(text[1], '\p{{Lu}}') AND NOT regexp_matches(text, '[.?:;,!]$')
+  AND NOT regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AND NOT regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*'))) GROUP BY ALL),
+r AS (SELECT *, 'p' || at[1] || ':' || at[2] AS ref FROM c)
+SELECT document_id, norm, n, ref, rank FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY n DESC, ref) AS rank FROM r) WHERE rank <= 14
+""")
+def header_candidates(spark: SparkSession, d: str) -> DataFrame:
+    out = layouts.header_candidates(lines_of(spark, d))
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query("""
@@ -313,6 +380,30 @@ def leaky_bucket(spark: SparkSession, d: str) -> DataFrame:
     return ledger.leaky_levels(rows, ["user_id"], "t", "a", ["t", "event_id"], 60, 3600).select("user_id", "event_id", "level_before", "level")
 
 
+@query("""
+WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS t, CAST(floor(value) AS BIGINT) AS a, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT user_id, event_id, t, n, a, CAST(0 AS BIGINT) AS before, a * 1000000 AS level FROM e WHERE n = 1
+  UNION ALL SELECT e.user_id, e.event_id, e.t, e.n, e.a, greatest(0, r.level - CAST(floor((e.t - r.t) * 60 / 3600.0) AS BIGINT)), greatest(0, r.level - CAST(floor((e.t - r.t) * 60 / 3600.0) AS BIGINT)) + e.a * 1000000 FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+SELECT user_id, event_id, CASE WHEN a > 54 THEN -1 ELSE CAST(ceil(greatest(0, before + a * 1000000 - 54000000) * 60 / 1000000.0) AS BIGINT) END AS wait_s FROM r
+""")
+def budget_wait(spark: SparkSession, d: str) -> DataFrame:
+    """Whole seconds until each charge fits under nine tenths of the limit; -1 if it never does."""
+    rows = table(spark, d, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.floor("value").alias("a"))
+    rows = ledger.leaky_levels(rows, ["user_id"], "t", "a", ["t", "event_id"], 60, 3600)
+    wait = ledger.wait_needed(F.col("level_before") / 1_000_000, F.col("a").cast("double"), 60, 3600)
+    micro = F.ceil(F.greatest(F.lit(0), F.col("level_before") + F.col("a") * 1_000_000 - 54_000_000) * 60 / F.lit(1_000_000)).cast("bigint")
+    return rows.select("user_id", "event_id", F.when(wait == float("inf"), F.lit(-1)).otherwise(micro).cast("bigint").alias("wait_s"))
+
+
+@query()
+def routed_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Which of three models takes each event as a call, one session for each user."""
+    calls = table(spark, d, "events").select(F.col("user_id").cast("string").alias("session"), "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.floor(F.coalesce("value", F.lit(0))).alias("v"))
+    w = Window.partitionBy("session").orderBy("t", "event_id")
+    calls = calls.select("session", F.row_number().over(w).cast("bigint").alias("n"), (F.col("t") / 1_000_000).alias("at"), (F.lit(200) + F.col("v")).alias("prompt"), F.lit(630).alias("reserve"), (F.lit(400) + F.col("v")).alias("used"))
+    return ledger.route_calls(calls, [("first", 30, 1000, 8000, 3000), ("second", 30, 1000, 8000, 3000), ("third", 30, 1000, 8000, 3000)]).select("session", "n", "model")
+
+
 @query("""
 WITH e AS (SELECT user_id, epoch_us(ts) AS b, epoch_us(ts) + 1800000000 AS f FROM events),
 m AS (SELECT *, max(f) OVER (PARTITION BY user_id ORDER BY b, f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM e),

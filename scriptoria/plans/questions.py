@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptoria.operators import dedupe, keys, lines
+from scriptoria.functions import patterns as P
+from scriptoria.operators import dedupe, keys, lines, spec
+from scriptoria.operators.layouts import Layout
 from scriptoria.session import Scratch
 
 UNMATCHED = ["document_id", "section_type", "raw_token", "raw_value", "page"]
@@ -30,12 +32,25 @@ def question_records(rows: DataFrame) -> DataFrame:
 
 
 def segment(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(questions, unmatched, anomalies) of section rows.
+    """(questions, unmatched, anomalies) of section rows by the built-in rules; as attach_keys.
+
+    In a numbered key the last entry of a number counts; a misread number "so" is never attached.
+    """
+    rows = rows if hasattr(rows, "_scratch_rows") else scratch.cut(rows, "rows")
+    records = scratch.cut(question_records(rows), "records")
+    tokens = keys.page_key_tokens(rows)
+    questions, unmatched, notes = attach_keys(records, rows, keys.numbered_entries(tokens), keys.fill_in_entries(rows), keys.grouped_entries(rows), scratch)
+    lost = tokens.filter("number = 'so'").select("document_id", F.lit("mcq").alias("section_type"), F.col("number").alias("raw_token"), F.col("answer").alias("raw_value"), "page")
+    return questions, unmatched.unionByName(lost), notes
+
+
+def attach_keys(records: DataFrame, rows: DataFrame, numbered: DataFrame, fill_in: DataFrame, grouped: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(questions, unmatched, anomalies) of records and the entries of the keys.
 
     questions: every question_id once, with source_answer, anomalies, pages. unmatched: key entries without
     question. anomalies: (document_id, anomaly) of documents.
     """
-    records = scratch.cut(question_records(rows), "records")
+    records = records.withColumn("given", F.lit(None).cast("string")) if "given" not in records.columns else records
     q = scratch.cut(dedupe.resolve_duplicates(records), "questions")
     plain = q.filter("not grouped and copy_of is null")
     unmatched: list[DataFrame] = []
@@ -48,10 +63,8 @@ def segment(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, Da
         unmatched.append(met.filter("question_id is null").select("document_id", F.lit(kind).alias("section_type"), F.col("number").alias("raw_token"), F.col("answer").alias("raw_value"), "page"))
         answers.append(keys.final_answers(met.filter("question_id is not null"), ["document_id", "question_id"], shown))
 
-    tokens = keys.page_key_tokens(rows)
-    attach(keys.numbered_entries(tokens), "mcq", True)
-    unmatched.append(tokens.filter("number = 'so'").select("document_id", F.lit("mcq").alias("section_type"), F.col("number").alias("raw_token"), F.col("answer").alias("raw_value"), "page"))
-    attach(keys.fill_in_entries(rows), "fill_in_blank", False)
+    attach(numbered, "mcq", True)
+    attach(fill_in, "fill_in_blank", False)
 
     matching = scratch.cut(keys.matching_entries(rows, plain.filter("section_type = 'matching'")), "matching")
     unmatched.append(matching.filter("question_id is null").select("document_id", F.lit("matching").alias("section_type"), F.concat(F.lit("("), "grp", F.lit(")")).alias("raw_token"), F.col("answer").alias("raw_value"), "page"))
@@ -60,7 +73,7 @@ def segment(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, Da
     final = keys.final_answers(known, ["document_id", "question_id"], False).join(doubt, ["document_id", "question_id"], "left")
     answers.append(final.select("document_id", "question_id", "source_answer", F.concat("key_anomalies", F.coalesce("doubt", _none())).alias("key_anomalies")))
 
-    entries = scratch.cut(keys.grouped_entries(rows), "grouped")
+    entries = scratch.cut(grouped, "grouped")
     chapters = q.filter("grouped and label is not null and copy_of is null").select("document_id", "number", "question_id", "section", "block", "label", lines.label_key(F.col("label")).alias("content_key"))
     target = keys.match_labels(entries, chapters.withColumnRenamed("content_key", "label_key"))
     met = entries.join(target, ["document_id", "label_key"], "left")
@@ -81,10 +94,31 @@ def segment(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, Da
     notes.append(rows.groupBy("document_id").agg(F.bool_or(~F.col("is_key") & F.col("kind").isNotNull()).alias("any")).filter("not any").select("document_id", F.lit("no_sections_detected").alias("anomaly")))
 
     told = reduce(DataFrame.unionByName, answers)
-    out = q.join(told, ["document_id", "question_id"], "left").withColumn("anomalies", F.concat("anomalies", F.coalesce("key_anomalies", _none()))).drop("key_anomalies")
+    out = q.join(told, ["document_id", "question_id"], "left").withColumn("source_answer", F.coalesce("source_answer", "given")).drop("given").withColumn("anomalies", F.concat("anomalies", F.coalesce("key_anomalies", _none()))).drop("key_anomalies")
     return out, reduce(DataFrame.unionByName, unmatched).select(*UNMATCHED), reduce(DataFrame.unionByName, notes)
 
 
+def extract_with_layout(marked: DataFrame, layout: Layout, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(questions, unmatched, anomalies) of lines marked for furniture, by the rules of a layout; as attach_keys.
+
+    Raises ValueError if the layout breaks its own rules.
+    """
+    if layout.problems():
+        raise ValueError("; ".join(layout.problems()))
+    rows, notes = spec.layout_sections(marked, layout)
+    rows = scratch.cut(rows, "rows")
+    records = scratch.cut(spec.layout_records(rows, layout), "records")
+    keyed = rows if layout.key_mode == "section" else rows.filter("not is_key")
+    numbered, told = spec.numbered_with_layout(keyed, layout)
+    heading = lines.is_heading(F.col("text")) & ~F.col("text").rlike(layout.stem.pattern())
+    grouped = keys.grouped_entries(keyed, P.ANY_KEY_LINE.replace(")(", ""), spec.entry_pattern(layout), heading)
+    questions, unmatched, more = attach_keys(records, keyed, numbered, keys.fill_in_entries(keyed, layout.stem.pattern()), grouped, scratch)
+    notes = notes.unionByName(told).unionByName(more)
+    if layout.key_mode == "section":
+        notes = notes.unionByName(rows.groupBy("document_id").agg(F.bool_or("is_key").alias("any")).filter("not any").select("document_id", F.lit("answer_key_section_not_found").alias("anomaly")))
+    return spec.flag_answers(questions, layout), unmatched, notes
+
+
 def review_reasons(questions: DataFrame, unmatched: DataFrame, anomalies: DataFrame) -> DataFrame:
     """(document_id, reason): what a document is to be reviewed for: its own anomalies, those of its questions, unmatched entries."""
     q = questions.select("document_id", "question_id", F.explode("anomalies").alias("a")).select("document_id", F.concat("question_id", F.lit(":"), "a").alias("reason"))

@@ -324,8 +324,57 @@ def test_layout_rules_and_patterns(spark):
     assert len(bad.problems()) >= 4
     df = spark.createDataFrame([("Q (12) text",), ("a) opt",), ("A) opt",)], "t string")
     assert one(df.select(F.regexp_extract("t", stem.pattern(), 1).alias("n"), F.regexp_extract("t", option.pattern(), 1).alias("o")), "n", "o") == [("12", ""), ("", "a"), ("", "")]
-    text, marked = layouts.take_mark(F.col("t"), "*")
-    assert one(spark.createDataFrame([("x *",), ("* x",), ("x",)], "t string").select(text.alias("t"), marked.alias("m")), "t", "m") == [("x", True), ("x", True), ("x", False)]
+    marks = spark.createDataFrame([("x *",), ("* x",), ("x",), (None,)], "t string")
+    for first, expected in ((False, [("x", True), ("* x", False), ("x", False), (None, None)]), (True, [("x *", False), ("x", True), ("x", False), (None, None)])):
+        text, marked = layouts.take_mark(F.col("t"), "*", first)
+        assert one(marks.select(text.alias("t"), marked.alias("m")), "t", "m") == expected
+
+
+def extracted(spark, pages, layout):
+    df = lines.explode_lines(spark.createDataFrame(pages, "document_id string, page int, text string"))
+    marked = lines.mark_furniture(df, lines.running_lines(df))
+    q, unmatched, notes = questions.extract_with_layout(marked, layout, Scratch(spark, "tl"))
+    return {r.question_id: r for r in q.collect()}, set(one(unmatched, "raw_token", "raw_value", "page")), {x for x, in one(notes, "anomaly")}
+
+
+NUMBER, LETTER = layouts.Marker("number", "", "", "-"), layouts.Marker("lower", "", "", "-")
+
+
+def test_layout_of_chapters(spark):
+    layout = layouts.Layout(NUMBER, LETTER, {"Questions": "mcq", "Model answer": "answer_key"}, "section", "-", grouped=True)
+    (doc, page, text), = grouped_document()
+    q, unmatched, notes = extracted(spark, [(doc, page, "Questions\n" + text)], layout)
+    assert {k: r.source_answer for k, r in q.items()} == {"D2-mcq-spinal-cord-1": "a", "D2-mcq-spinal-cord-2": "b", "D2-mcq-spinal-cord-3": "a & c", "D2-mcq-brain-stem-1": "d", "D2-mcq-brain-stem-2": None}
+    assert q["D2-mcq-brain-stem-2"].anomalies == ["no_answer_key_entry"] and unmatched == {("Brain stem:7", "a", 1)} and notes == set()
+
+
+def test_layout_with_nearly_equal_headers_and_entries_across_pages(spark):
+    layout = layouts.Layout(NUMBER, LETTER, {"Multiple choice": "mcq", "Answer sheet": "answer_key"}, "section", "-")
+    option = "\n".join(f"{x}- option {x}" for x in "abc")
+    text = f"Multiple ch0ice\n1- One?\n{option}\n2- Two?\n{option}\n3- Three?\n{option}\nd- more"
+    q, unmatched, notes = extracted(spark, [("L", 1, text), ("L", 2, "Answer sheet\n1-a 2-"), ("L", 3, "b 1-c\n3-e 9-a")], layout)
+    assert {k: (r.source_answer, r.anomalies) for k, r in q.items()} == {"L-mcq-1": ("a", []), "L-mcq-2": ("b", []), "L-mcq-3": ("e", ["unexpected_option_count:4", "answer_not_in_options:e"])}
+    assert unmatched == {("9", "a", 3)} and notes == {"fuzzy_section_header:Multiple ch0ice->multiple choice", "answer_key_repeat_conflict:1:a_vs_c"}
+    assert (q["L-mcq-1"].first_ref, q["L-mcq-1"].last_ref) == ("p1:1", "p1:4")
+    with pytest.raises(ValueError):
+        extracted(spark, [("L", 1, text)], layouts.Layout(NUMBER, None, {"x": "mcq"}))
+
+
+def test_layout_with_answers_beside_the_questions(spark):
+    text = "Multiple choice\n1- One?\na- p\nb- q *\n2- Two?\na- p *\nb- q\nrest *\n3- Three?\na- p\nb- q"
+    q, _, _ = extracted(spark, [("L", 1, text)], layouts.Layout(NUMBER, LETTER, {"Multiple choice": "mcq"}, "marked_option", mark="*"))
+    assert {k: (r.source_answer, [o.text for o in r.options], r.anomalies) for k, r in q.items()} == {"L-mcq-1": ("b", ["p", "q"], []), "L-mcq-2": ("a & b", ["p", "q rest"], ["multiple_marked_options:a,b"]), "L-mcq-3": (None, ["p", "q"], ["no_answer_key_entry"])}
+    text = "Multiple choice\n1- One?\na- p\nb- q\nAns: (B)\nFill in\n1- The .... bone\nAns: femur\n2- None"
+    q, _, _ = extracted(spark, [("L", 1, text)], layouts.Layout(NUMBER, LETTER, {"Multiple choice": "mcq", "Fill in": "fill_in_blank"}, "inline_label", prefixes=("Ans", "Answer")))
+    assert {k: (r.question_text, r.source_answer) for k, r in q.items()} == {"L-mcq-1": ("One?", "b"), "L-fib-1": ("The .... bone", "femur"), "L-fib-2": ("None", None)}
+
+
+def test_entries_know_their_line(spark):
+    rows = spark.createDataFrame([("d", 1, 0, "x 1-"), ("d", 1, 1, "a 2-b"), ("d", 2, 0, ""), ("d", 2, 1, "3-c")], "document_id string, page int, idx int, text string")
+    from scriptoria.operators import spec
+
+    pattern = spec.entry_pattern(layouts.Layout(NUMBER, LETTER, {}, "section", "-."))
+    assert one(spec.tokens_with_lines(rows, ["document_id"], pattern), "number", "answer", "page", "idx") == [("1", "a", 1, 0), ("2", "b", 1, 1), ("3", "c", 2, 1)]
 
 
 def test_signatures_and_matches(spark):
@@ -339,13 +388,62 @@ def test_signatures_and_matches(spark):
 
 
 def test_validation(spark):
-    schema = "document_id string, section_type string, group_label string, question_number string, question_text string, options array<struct<label:string,text:string>>, source_answer string, anomalies array<string>"
-    ok = [("d", "mcq", None, str(i), "text", [(x, "t") for x in "abcd"], "a", []) for i in range(1, 5)]
-    bad = [("e", "mcq", None, "1", "", [("a", "t"), ("c", "t")], "z", ["unexpected_option_count:2"])]
-    none = spark.createDataFrame([], "document_id string, furniture boolean")
-    report = layouts.validation_report(spark.createDataFrame(ok + bad, schema), none)
-    assert set(one(layouts.report_scores(report), "document_id", "verdict")) == {("d", "pass"), ("e", "fail")}
-    assert dict(one(layouts.summary_line(report), "document_id", "summary"))["d"] == "all checks passed"
+    q, _, _ = questions.segment(content(spark, D1), Scratch(spark, "tv"))
+    none = F.lit(None).cast("string")
+    df = lines.explode_lines(spark.createDataFrame([*D1, ("D7", 1, "some prose here\nand no question")], "document_id string, page int, text string"))
+    marked = lines.mark_furniture(df, lines.running_lines(df))
+    unmatched = spark.createDataFrame([("D1",)], "document_id string")
+    report = layouts.validation_report(q.withColumn("first_ref", F.lit("p1:1")).withColumn("last_ref", F.when(F.col("number") == "3", "p9:9").otherwise("p1:2")), marked, layouts.layout_features(marked), unmatched)
+    got = {(r.document_id, r.check): (round(r.value, 3), r.grade) for r in report.collect()}
+    assert {k[1]: v for k, v in got.items() if k[0] == "D1"} == {
+        "has_questions": (4, "pass"), "furniture_share": (0, "pass"), "content_coverage": (1, "pass"), "numbering_sequence": (1, "pass"), "option_shape": (1, "pass"), "empty_stems": (0, "pass"), "key_coverage": (1, "pass"),
+        "option_count_consistency": got["D1", "option_count_consistency"], "key_resolution": (0.2, "warn"), "key_matches_options": (1, "pass"), "anomaly_rate": (0.25, "pass"), "key_gaps_explained": (0, "pass"), "provenance_integrity": (1, "fail"),
+    }
+    assert [v for k, v in got.items() if k[0] == "D7"] == [(0, "fail")]
+    assert set(one(layouts.report_scores(report), "document_id", "verdict")) == {("D1", "fail"), ("D7", "fail")}
+    assert dict(one(layouts.summary_line(report), "document_id", "summary"))["D1"].startswith("provenance_integrity=1.00 (fail); ")
+    candidates = spark.createDataFrame([("a", "x", "weak", 0.9), ("a", "builtin", "pass", 0.8), ("a", "y", "pass", 0.8001), ("b", "x", "n/a", 1.0), ("b", "y", "fail", 0.1)], "document_id string, candidate string, verdict string, score double")
+    assert set(one(layouts.best_candidates(candidates), "document_id", "candidate")) == {("a", "builtin"), ("b", "y")}
+
+
+def test_coverage_tells_lost_lines(spark):
+    df = lines.explode_lines(spark.createDataFrame([("d", 1, "1- What is the\nlongest bone?\na- femur *\nb- ulna\nlost line of text\n1-a 2-b\nLiver")], "document_id string, page int, text string")).withColumn("furniture", F.lit(False))
+    pair = "array<struct<left_label:string,left_text:string,right_label:string,right_text:string>>"
+    q = spark.createDataFrame([("d", "Liver", "What is the longest bone?", [("a", "femur"), ("b", "ulna")], None, [])], f"document_id string, label string, question_text string, options array<struct<label:string,text:string>>, source_answer string, pairs {pair}")
+    got = one(layouts.content_coverage(df, q), "eligible_chars", "covered_chars")
+    assert got == [(len("what is thelongest bonefemurulnalost line of text"), len("what is thelongest bonefemurulna"))]
+
+
+def test_headers_references_and_applicability(spark):
+    df = lines.explode_lines(spark.createDataFrame([("d", p, "Liver\n1- One?\na- x\nb- y\nKey\nBones") for p in (1, 2, 10)], "document_id string, page int, text string")).withColumn("furniture", F.col("text") == "Bones")
+    assert one(layouts.header_candidates(df, 1), "norm", "n", "ref") == [("liver", 3, "p1:0")]
+    assert one(layouts.header_candidates(df).filter("rank = 2"), "norm") == [("key",)]
+    refs = spark.createDataFrame([("d", "p1:1", r"^\d+-"), ("d", "p1:0", r"^\d+-"), ("d", "p1:5", None), ("d", "p3:1", None), ("d", "x", None)], "document_id string, ref string, pattern string")
+    assert set(one(layouts.ground(refs, df), "ref", "problem")) == {("p1:1", None), ("p1:0", "does_not_match"), ("p1:5", "furniture"), ("p3:1", "no_such_line"), ("x", "bad_reference")}
+    assert one(layouts.applicable(df, layouts.Layout(NUMBER, LETTER, {"Liver": "mcq"})), "missing_headers", "stems", "options", "applies") == [(0, 3, 6, True)]
+    assert one(layouts.applicable(df, layouts.Layout(NUMBER, LETTER, {"Lung": "mcq"})), "missing_headers", "applies") == [(1, False)]
+
+
+def test_router(spark):
+    def used(calls, models, **more):
+        rows = [("s", n, float(t), 200, 630, 700) for n, t in enumerate(calls)]
+        df = spark.createDataFrame(rows, "session string, n bigint, at double, prompt int, reserve int, used int")
+        return [(r.model, r.started) for r in sorted(ledger.route_calls(df, models, **more).collect(), key=lambda r: r.n)]
+
+    three = [(x, 30, 1000, 8000, 3000) for x in "ABC"]
+    assert [m for m, _ in used([1e6] * 10 + [1e6 + 86405], three)] == [*"AAABBBCCC", None, "A"]
+    two = [(x, 30, 1000, 8000, 200000) for x in "AB"]
+    assert [m for m, _ in used([1e6] * 4 + [1e6 + 400], two, refuse={"A": 2})] == [*"AABB", "A"]
+    paced = used([1e6] * 14, [("A", 30, 1000, 8000, 200000)])
+    assert [m for m, _ in paced] == ["A"] * 14 and 0 < paced[-1][1] - 1e6 < 130
+
+    requests = spark.createDataFrame([("r", 100.0, 830)], "request string, now double, tokens int")
+    levels = spark.createDataFrame([("A", "tpd", 2100.0, 100.0), ("A", "tpd", 0.0, 1.0), ("B", "rpm", 27.0, 98.0)], "model string, dim string, level double, at double")
+    cold = spark.createDataFrame([("C", 150.0), ("C", 120.0)], "model string, until double")
+    got = {r.model: round(r.wait, 3) for r in ledger.budget_waits(requests, levels, cold, [*three, ("D", 30, 1000, 900, 3000)]).collect()}
+    assert got == {"A": round((2930 - 2700) * 86400 / 3000, 3), "B": 0.0, "C": 50.0, "D": float("inf")}
+    waits = ledger.budget_waits(requests, levels, cold, three)
+    assert one(ledger.first_usable(waits), "model", "wait") == [("B", 0.0)]
 
 
 def test_replies(spark):
