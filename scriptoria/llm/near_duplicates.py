@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions.text import words
 from scriptoria.llm.arrow import WordHash, mix, runs
-from scriptoria.operators.skew import HARMLESS
+from scriptoria.operators.skew import HARMLESS, hot_keys, salted_join
 from scriptoria.session import Scratch
 
 #: Words in a run.
@@ -282,10 +282,13 @@ def near_duplicate_classes(rows: DataFrame, scratch: Scratch, id_col: str = "que
     hist = sc.broadcast(_histogram(reps))
     probed = sc.broadcast(_probed_cells(reps, hist))
     found = _probes(reps, hist, probed).repartition("h", "salt").sortWithinPartitions("h", "salt").mapInArrow(_match, "a bigint, b bigint").distinct()
-    pairs = scratch.cut(found, "candidates")
+    pairs = found_pairs = scratch.cut(found, "candidates")
     text = reps.select("rid", "norm")
-    pairs = pairs.join(text.select(F.col("rid").alias("a"), F.col("norm").alias("ta")), "a").join(text.select(F.col("rid").alias("b"), F.col("norm").alias("tb")), "b")
+    hot = hot_keys(pairs, "b")
+    pairs = salted_join(pairs, text.select(F.col("rid").alias("a"), F.col("norm").alias("ta")), "a")
+    pairs = salted_join(pairs, text.select(F.col("rid").alias("b"), F.col("norm").alias("tb")), "b", hot=hot)
     links = scratch.cut(pairs.select("a", "b", "ta", "tb").mapInArrow(_verify, "a bigint, b bigint"), "links")
+    scratch.drop(found_pairs)
     return members, links
 
 
@@ -297,8 +300,8 @@ def near_duplicate_pairs(rows: DataFrame, scratch: Scratch) -> DataFrame:
     members, links = near_duplicate_classes(rows, scratch)
     left = members.select(F.col("rid").alias("a"), F.col("id").alias("p"))
     right = members.select(F.col("rid").alias("b"), F.col("id").alias("q"))
-    across = links.join(left, "a").join(right, "b").select("p", "q").filter("p <> q")
-    within = left.join(right, F.col("a") == F.col("b")).select("p", "q").filter("p < q")
+    across = salted_join(salted_join(links, left, "a"), right, "b", hot=hot_keys(links, "b")).select("p", "q").filter("p <> q")
+    within = salted_join(left, right.withColumnRenamed("b", "a"), "a").select("p", "q").filter("p < q")
     both = across.unionByName(within)
     return both.select(F.least("p", "q").alias("question_id_1"), F.greatest("p", "q").alias("question_id_2")).distinct()
 
@@ -308,5 +311,6 @@ def near_duplicate_summary(rows: DataFrame, scratch: Scratch) -> DataFrame:
     members, links = near_duplicate_classes(rows, scratch)
     ends = links.select(F.explode(F.array("a", "b")).alias("rid")).groupBy("rid").agg(F.count(F.lit(1)).alias("class_links"))
     names = members.groupBy("rid").agg(F.min("id").alias("class_id"))
-    out = members.join(names, "rid").join(ends, "rid", "left")
+    hot = hot_keys(members, "rid")
+    out = salted_join(salted_join(members, names, "rid", hot=hot), ends, "rid", "left", hot=hot)
     return out.select(F.col("id").alias("question_id"), "class_id", F.coalesce("class_links", F.lit(0)).alias("class_links"))

@@ -88,6 +88,14 @@ SELECT DISTINCT question_id FROM t WHERE r IN (SELECT r FROM b)
   OR r IN (SELECT c.r FROM c JOIN t USING (r) WHERE c.n * 10 >= len(w) * 3)
 """
 
+P1_SHARES = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, question_id, w FROM (SELECT DISTINCT question_id, {WORDS.format("coalesce(question_text, '')")} AS w FROM needs_review WHERE question_id IS NOT NULL)),
+g AS (SELECT r, i, w[i:i+4] AS run FROM t, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i) WHERE len(w) >= 10),
+l AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY r, run ORDER BY i) AS k FROM g) WHERE k > 1),
+c AS (SELECT r, count(DISTINCT i + o) AS n FROM l, (SELECT unnest(range(5)) AS o) GROUP BY r)
+SELECT DISTINCT question_id, coalesce(c.n, 0) / greatest(len(w), 1)::DOUBLE AS repeated_share FROM t LEFT JOIN c USING (r)
+"""
+
 P3 = """
 WITH RECURSIVE ids AS (SELECT DISTINCT question_id, lower(trim(question_id)) AS v FROM needs_review WHERE trim(question_id) <> ''),
 e AS (SELECT DISTINCT lower(trim(question_id)) AS a, lower(trim(duplicate_of_question_id)) AS b FROM needs_review
@@ -107,6 +115,16 @@ SELECT DISTINCT least(qa.question_id, qb.question_id) AS question_id_1, greatest
 FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r = b JOIN q qa ON qa.r = a JOIN q qb ON qb.r = b WHERE c * 2 >= na.n + nb.n - c
 """
 
+P4_CLASSES = rf"""
+WITH q AS (SELECT DISTINCT question_id, {WORDS.format("question_text")} AS w FROM needs_review WHERE question_id IS NOT NULL AND question_text IS NOT NULL),
+k AS (SELECT row_number() OVER () AS r, w, class_id FROM (SELECT w, min(question_id) AS class_id FROM q WHERE len(w) >= 3 GROUP BY w)),
+s AS (SELECT DISTINCT r, w[i:i+2] AS run FROM k, LATERAL (SELECT unnest(range(1, len(w) - 1)) AS i)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.run = y.run AND x.r <> y.r GROUP BY x.r, y.r),
+l AS (SELECT a, count(*) AS links FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE c * 2 >= na.n + nb.n - c GROUP BY a)
+SELECT question_id, class_id, coalesce(links, 0) AS class_links FROM q JOIN k USING (w) LEFT JOIN l ON l.a = k.r
+"""
+
 P9 = rf"""
 WITH d AS (SELECT doc_id, {WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
 i AS (SELECT item_id, {WORDS.format("text")} AS w FROM heldout_items),
@@ -117,4 +135,4 @@ SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (run)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p3_found": P3, "p4_found": P4, "p9_found": P9}
+    return {"p1_found": P1, "p1_shares": P1_SHARES, "p3_found": P3, "p4_found": P4, "p4_classes": P4_CLASSES, "p9_found": P9}
