@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scriptoria.functions import patterns as P
 from scriptoria.functions import replies
 from scriptoria.operators import dedupe, keys, layouts, ledger, lines, quality
 from scriptoria.plans import questions
@@ -37,6 +38,29 @@ m AS (SELECT *, bare OR (run AND NOT answer) AS furniture FROM k)
 """
 
 
+#: Content lines by section, as SQL.
+SECTIONS = rf"""
+WITH {LINES}, {RUNNING}, {MARKED},
+h AS (SELECT document_id, page, idx, text, CASE WHEN regexp_full_match(text, '(?i)m\.?\s*c\.?\s*q''?s?\.?') THEN 'mcq' WHEN regexp_full_match(text, '(?i)fill\s+in\s+the\s+blanks?') THEN 'fill_in_blank' WHEN regexp_full_match(text, '(?i)(cross[\s-]*)?matching') THEN 'matching' WHEN regexp_full_match(text, '(?i)model\s+answers?') THEN 'answer_key' END AS h,
+  regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AS stem, regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*') AS opt FROM m WHERE NOT furniture),
+w AS (SELECT *, count(h) OVER o AS section, last_value(h IGNORE NULLS) OVER o AS last, last_value(CASE WHEN h <> 'answer_key' THEN h END IGNORE NULLS) OVER o AS kind,
+  max(CASE WHEN h <> 'answer_key' THEN 1 ELSE 0 END) OVER (PARTITION BY document_id) AS typed FROM h
+  WINDOW o AS (PARTITION BY document_id ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT document_id FROM w WHERE section = 0 AND coalesce(typed, 0) = 0 GROUP BY document_id HAVING sum(CASE WHEN stem THEN 1 ELSE 0 END) >= 5 AND sum(CASE WHEN opt THEN 1 ELSE 0 END) >= 2 * sum(CASE WHEN stem THEN 1 ELSE 0 END)),
+sec AS (SELECT document_id, page, idx, text, section, stem, opt, CASE WHEN document_id IN (SELECT document_id FROM g) THEN 'mcq' ELSE kind END AS kind, coalesce(last = 'answer_key', false) AS is_key, document_id IN (SELECT document_id FROM g) AS grouped FROM w WHERE h IS NULL)
+"""
+#: Question blocks of content sections, and entries of numbered keys by page, as SQL.
+BLOCKS = rf"""{SECTIONS},
+b AS (SELECT *, CASE WHEN kind = 'matching' THEN regexp_full_match(text, '(?i)\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-.)]+[\s\p{{Z}}]*match.*') ELSE stem END AS is_stem FROM sec WHERE NOT is_key AND kind IS NOT NULL),
+k2 AS (SELECT *, sum(CASE WHEN is_stem THEN 1 ELSE 0 END) OVER (PARTITION BY document_id, section ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block FROM b)
+"""
+ENTRY = r"(?i)(\d{1,3}|\bso\b)\s*[-.]\s*([a-e])(?:$|[^\p{L}\p{N}_])"
+TOKENS = rf"""{SECTIONS},
+kt AS (SELECT document_id, section, page, string_agg(text, ' ' ORDER BY idx) AS t FROM sec WHERE is_key AND kind = 'mcq' AND NOT grouped GROUP BY ALL),
+tok AS (SELECT document_id, section, page, lower(unnest(regexp_extract_all(t, '{ENTRY}', 1))) AS number, lower(unnest(regexp_extract_all(t, '{ENTRY}', 2))) AS answer, generate_subscripts(regexp_extract_all(t, '{ENTRY}', 1), 1) AS ord FROM kt)
+"""
+
+
 def pages_once(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "page_extractions").dropDuplicates(["document_id", "page"])
 
@@ -77,7 +101,16 @@ def quality_gate(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("document_id", "page", F.col("q_chars").cast("bigint").alias("q_chars"), gate.alias("gate"))
 
 
-@query()
+@query(rf"""
+WITH p AS ({PAGES}), s AS (SELECT document_id, page, text IS NULL AS gone, {TRIM.format("coalesce(text, '')")} AS t FROM p),
+c AS (SELECT *, length(t) AS n, len(regexp_extract_all(t, '\x{{FFFD}}')) AS fffd, len(regexp_extract_all(t, '[\p{{Cc}}\p{{Co}}]')) - len(regexp_extract_all(t, '[\n\r\t]')) AS ctrl,
+  len(regexp_extract_all(t, '[^\p{{L}}\p{{N}}\s\p{{Z}}\x0b\x1c-\x1f\x85.,;:!?()\[\]{{}}''"\-_/\\%&+=<>*#@°ºµ±×÷√∞≈≠≤≥→←↔$€£¥|~^`]')) AS noise FROM s),
+m AS (SELECT document_id, page, max(k) AS most FROM (SELECT document_id, page, ch, count(*) AS k FROM (SELECT document_id, page, unnest(string_split(t, '')) AS ch FROM s) GROUP BY ALL) GROUP BY ALL)
+SELECT document_id, page, CASE WHEN gone THEN 'empty_extraction' WHEN n < 20 THEN 'too_short' WHEN fffd > 0.01 * n THEN printf('replacement_chars:%.3f', fffd / n::DOUBLE) WHEN ctrl > 0.02 * n THEN printf('control_chars:%.3f', ctrl / n::DOUBLE)
+  WHEN most > 0.4 * n THEN printf('repeated_char_spam:%.2f', most / n::DOUBLE) WHEN noise > 0.15 * n THEN printf('high_noise_ratio:%.2f', noise / n::DOUBLE) END AS q_reason,
+  CASE WHEN gone THEN 0.0 WHEN n < 20 OR fffd > 0.01 * n THEN 0.1 WHEN ctrl > 0.02 * n OR most > 0.4 * n THEN 0.15 WHEN noise > 0.15 * n THEN 0.2 ELSE round(least(0.9::DOUBLE, 0.55::DOUBLE + 0.35::DOUBLE * (1 - noise / n::DOUBLE) * least(n / 500.0::DOUBLE, 1::DOUBLE)), 3) END::DOUBLE AS q_confidence
+FROM c LEFT JOIN m USING (document_id, page)
+""")
 def quality_reasons(spark: SparkSession, d: str) -> DataFrame:
     return quality.assess(pages_once(spark, d)).select("document_id", "page", "q_reason", "q_confidence")
 
@@ -120,16 +153,7 @@ def strip_furniture(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("document_id").agg(F.sum((~F.col("furniture")).cast("bigint")).alias("content"), F.sum(F.col("furniture").cast("bigint")).alias("furniture"))
 
 
-@query(rf"""
-WITH {LINES}, {RUNNING}, {MARKED},
-h AS (SELECT document_id, page, idx, text, CASE WHEN regexp_full_match(text, '(?i)m\.?\s*c\.?\s*q''?s?\.?') THEN 'mcq' WHEN regexp_full_match(text, '(?i)fill\s+in\s+the\s+blanks?') THEN 'fill_in_blank' WHEN regexp_full_match(text, '(?i)(cross[\s-]*)?matching') THEN 'matching' WHEN regexp_full_match(text, '(?i)model\s+answers?') THEN 'answer_key' END AS h,
-  regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AS stem, regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*') AS opt FROM m WHERE NOT furniture),
-w AS (SELECT *, count(h) OVER o AS section, last_value(h IGNORE NULLS) OVER o AS last, last_value(CASE WHEN h <> 'answer_key' THEN h END IGNORE NULLS) OVER o AS kind,
-  max(CASE WHEN h <> 'answer_key' THEN 1 ELSE 0 END) OVER (PARTITION BY document_id) AS typed FROM h
-  WINDOW o AS (PARTITION BY document_id ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-g AS (SELECT document_id FROM w WHERE section = 0 AND coalesce(typed, 0) = 0 GROUP BY document_id HAVING sum(CASE WHEN stem THEN 1 ELSE 0 END) >= 5 AND sum(CASE WHEN opt THEN 1 ELSE 0 END) >= 2 * sum(CASE WHEN stem THEN 1 ELSE 0 END))
-SELECT document_id, section, CASE WHEN document_id IN (SELECT document_id FROM g) THEN 'mcq' ELSE kind END AS kind, coalesce(last = 'answer_key', false) AS is_key, count(*) AS n_lines FROM w WHERE h IS NULL GROUP BY ALL
-""")
+@query(rf"""{SECTIONS} SELECT document_id, section, kind, is_key, count(*) AS n_lines FROM sec GROUP BY ALL""")
 def sections(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.assign_sections(lines.content_lines(lines_of(spark, d)))
     return rows.groupBy("document_id", "section", "kind", "is_key").agg(F.count(F.lit(1)).alias("n_lines"))
@@ -169,7 +193,22 @@ def question_review_reasons(spark: SparkSession, d: str) -> DataFrame:
     return questions.review_reasons(*segmented(spark, d)).groupBy("document_id", "reason").agg(F.count(F.lit(1)).alias("times"))
 
 
-@query()
+@query(rf"""{BLOCKS} SELECT document_id, section, kind, block::BIGINT AS block, count(*) AS n_lines, count(CASE WHEN opt AND NOT is_stem THEN 1 END) AS n_options FROM k2 GROUP BY ALL""")
+def question_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and options of every question block; block 0 is what stands before the first question of a section."""
+    rows = lines.question_blocks(section_rows(spark, d))
+    option = F.col("text").rlike(P.OPTION) & ~F.col("is_stem")
+    return rows.groupBy("document_id", "section", "kind", F.col("block").cast("bigint").alias("block")).agg(F.count(F.lit(1)).alias("n_lines"), F.count(F.when(option, 1)).alias("n_options"))
+
+
+@query(rf"""{TOKENS} SELECT document_id, section, number, arg_max(answer, page * 1000000 + ord) AS answer, max(page) AS page FROM tok WHERE number <> 'so' GROUP BY ALL""")
+def key_entries(spark: SparkSession, d: str) -> DataFrame:
+    """The entry that counts of every number of every numbered key."""
+    return keys.numbered_entries(keys.page_key_tokens(section_rows(spark, d)))
+
+
+@query(rf"""{TOKENS}, n AS (SELECT document_id, section, page, count(DISTINCT number::INT) AS n, min(number::INT) AS lo, max(number::INT) AS hi, sum(DISTINCT number::INT) AS s FROM tok WHERE number <> 'so' GROUP BY ALL)
+SELECT document_id, section, page, ((lo + hi) * (hi - lo + 1) / 2 - s)::INTEGER AS gap FROM n WHERE n >= 2 AND hi - lo + 1 - n = 1""")
 def key_sequence_gaps(spark: SparkSession, d: str) -> DataFrame:
     rows = section_rows(spark, d)
     return keys.sequence_gaps(keys.page_key_tokens(rows))
@@ -357,11 +396,11 @@ def layout_choice(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(rf"""
-WITH {LINES}, {RUNNING}, {MARKED}, c AS (SELECT document_id, norm, count(*) AS n, min((page, idx)) AS at FROM m WHERE NOT furniture AND (
+WITH {LINES}, {RUNNING}, {MARKED}, c AS (SELECT document_id, norm, count(*) AS n, min((page, idx)) AS pl FROM m WHERE NOT furniture AND (
   regexp_matches(norm, '(?i)^(?:model\s+)?(?:answers?|answer\s+key|key|solutions?)(?:\s+sheet)?$') OR regexp_matches(norm, '(?i)^(?:m\.?\s*c\.?\s*q''?s?|fill in the blanks?|(?:cross[\s-]*)?matching)$')
   OR (len(string_split(trim(regexp_replace(text, '[\s\p{{Z}}-]+', ' ', 'g')), ' ')) BETWEEN 1 AND 8 AND NOT regexp_matches(text, '\p{{Nd}}') AND regexp_matches(text[1], '\p{{Lu}}') AND NOT regexp_matches(text, '[.?:;,!]$')
   AND NOT regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AND NOT regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*'))) GROUP BY ALL),
-r AS (SELECT *, 'p' || at[1] || ':' || at[2] AS ref FROM c)
+r AS (SELECT *, concat('p', pl[1], ':', pl[2]) AS ref FROM c)
 SELECT document_id, norm, n, ref, rank FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY n DESC, ref) AS rank FROM r) WHERE rank <= 14
 """)
 def header_candidates(spark: SparkSession, d: str) -> DataFrame:
