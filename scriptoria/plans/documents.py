@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions import patterns as P
 from scriptoria.functions import replies
-from scriptoria.operators import dedupe, keys, layouts, ledger, lines, quality
+from scriptoria.operators import dedupe, keys, layouts, ledger, lines, quality, review
 from scriptoria.plans import questions
 from scriptoria.plans.registry import query
 from scriptoria.session import Scratch
@@ -400,8 +400,8 @@ WITH {LINES}, {RUNNING}, {MARKED}, c AS (SELECT document_id, norm, count(*) AS n
   regexp_matches(norm, '(?i)^(?:model\s+)?(?:answers?|answer\s+key|key|solutions?)(?:\s+sheet)?$') OR regexp_matches(norm, '(?i)^(?:m\.?\s*c\.?\s*q''?s?|fill in the blanks?|(?:cross[\s-]*)?matching)$')
   OR (len(string_split(trim(regexp_replace(text, '[\s\p{{Z}}-]+', ' ', 'g')), ' ')) BETWEEN 1 AND 8 AND NOT regexp_matches(text, '\p{{Nd}}') AND regexp_matches(text[1], '\p{{Lu}}') AND NOT regexp_matches(text, '[.?:;,!]$')
   AND NOT regexp_full_match(text, '(\p{{L}}{{1,2}}[\s\p{{Z}}]+)?\p{{Nd}}{{1,3}}[\s\p{{Z}}]*[-:.)]+\.?[\s\p{{Z}}]*.*') AND NOT regexp_full_match(text, '[a-fA-F][\s\p{{Z}}]*[-.)·][\s\p{{Z}}]*.*'))) GROUP BY ALL),
-r AS (SELECT *, concat('p', pl[1], ':', pl[2]) AS ref FROM c)
-SELECT document_id, norm, n, ref, rank FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY n DESC, ref) AS rank FROM r) WHERE rank <= 14
+hr AS (SELECT *, concat('p', pl[1], ':', pl[2]) AS ref FROM c)
+SELECT document_id, norm, n, ref, rank FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY n DESC, ref) AS rank FROM hr) WHERE rank <= 14
 """)
 def header_candidates(spark: SparkSession, d: str) -> DataFrame:
     out = layouts.header_candidates(lines_of(spark, d))
@@ -463,6 +463,55 @@ def token_estimates(spark: SparkSession, d: str) -> DataFrame:
     return pages_once(spark, d).filter("text is not null").select("document_id", "page", replies.estimate_tokens(F.col("text")).alias("tokens"))
 
 
+@query("""
+SELECT DISTINCT document_id, page FROM page_extractions WHERE extraction_method = 'pending_vision' AND trim(rendered_image_path) <> ''
+""")
+def pending_pages(spark: SparkSession, d: str) -> DataFrame:
+    return review.pending_pages(table(spark, d, "page_extractions")).select("document_id", "page").distinct()
+
+
+@query()
+def transcription_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """How a transcription of each page would be judged."""
+    return review.transcription_outcome(pages_once(spark, d)).groupBy("outcome").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query(r"""
+WITH q AS (SELECT DISTINCT question_id, document_id, source_spans[1].pages[1] AS page FROM needs_review),
+p AS (SELECT document_id, page, min(nullif(trim(rendered_image_path), '')) AS image FROM page_extractions GROUP BY ALL)
+SELECT DISTINCT question_id, q.document_id, q.page, image FROM q LEFT JOIN p ON p.document_id = q.document_id AND p.page = q.page
+""")
+def question_images(spark: SparkSession, d: str) -> DataFrame:
+    return review.question_images(table(spark, d, "needs_review"), table(spark, d, "page_extractions"))
+
+
+@query(r"""
+WITH h AS (SELECT question_id, exported_at, check_agrees IS NOT NULL AS checked, sha1(concat_ws(chr(31), coalesce(question_text, ''), coalesce(list_aggregate(list_transform(options, lambda o: concat_ws(chr(30), coalesce(o.label, ''), coalesce(o.text, ''))), 'string_agg', chr(29)), ''), coalesce(source_answer, ''))) AS h FROM needs_review),
+g AS (SELECT question_id, count(DISTINCT h) AS contents, bool_or(checked) AS checked FROM h GROUP BY question_id)
+SELECT question_id, contents, checked, CASE WHEN NOT checked THEN 'unchecked' WHEN contents > 1 THEN 'changed' ELSE 'current' END AS state FROM g
+""")
+def check_states(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each question has to be checked: never checked, or its exports differ in what a check reads."""
+    return review.check_states(table(spark, d, "needs_review"))
+
+
+@query(r"""
+SELECT coalesce(ai_model_used, '') AS model, count(*) AS reviews, count(ai_confidence) AS with_confidence, CAST(round(1000 * avg(ai_confidence)) AS BIGINT) AS mean_per_mille, count(CASE WHEN check_agrees THEN 1 END) AS agreed
+FROM (SELECT DISTINCT question_id, ai_model_used, ai_confidence, check_agrees FROM needs_review) GROUP BY ALL
+""")
+def review_stats(spark: SparkSession, d: str) -> DataFrame:
+    return review.model_stats(table(spark, d, "needs_review").select("question_id", "ai_model_used", "ai_confidence", "check_agrees").distinct())
+
+
+@query(r"""
+WITH e AS (SELECT question_id, exported_at, options, matching_pairs, row_number() OVER (PARTITION BY question_id ORDER BY exported_at, hash(options::VARCHAR || coalesce(matching_pairs::VARCHAR, ''))) AS k FROM (SELECT DISTINCT question_id, exported_at, options, matching_pairs FROM needs_review))
+SELECT a.question_id, count(*) AS exports, count(CASE WHEN a.options IS DISTINCT FROM b.options OR a.matching_pairs IS DISTINCT FROM b.matching_pairs THEN 1 END) AS changes FROM e a LEFT JOIN e b ON b.question_id = a.question_id AND b.k = 1 GROUP BY a.question_id
+""")
+def structure_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Exports of each question, and how many of them differ from the first in options or pairs."""
+    return review.structure_changes(table(spark, d, "needs_review"))
+
+
 @query("""
 WITH q AS (SELECT question_id, document_id, section_type, try_cast(question_number AS INTEGER) AS n, question_number FROM needs_review GROUP BY ALL)
 SELECT question_id, document_id, row_number() OVER (PARTITION BY document_id ORDER BY section_type NULLS FIRST, n NULLS LAST, question_number NULLS FIRST, question_id) AS position FROM q

@@ -81,6 +81,30 @@ def read_pages(files: DataFrame, pdf: Callable[[bytes], list[str | None]] | None
     return files.select("path", "file_type", "content").mapInPandas(read, PAGE_SCHEMA)
 
 
+def ingest(files: DataFrame, manifest: DataFrame, version: str, root: str, at: str, pdf: Callable[[bytes], list[str | None]] | None = None, image: Callable[[bytes], str] | None = None, force: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pages, dead letters, manifest after) of scanned files that no run has read at this version.
+
+    Pages carry file_hash, subject, topic and the gate's judgement: a page of a text layer that fails the gate
+    waits for transcription. A file that fails gives a dead letter (path, error) and no manifest entry. Equal
+    contents at several paths are read once, at the least path.
+    """
+    from scriptoria.operators.quality import assess
+
+    todo = files.filter("file_type is not null")
+    if not force:
+        todo = todo.join(manifest.filter(F.col("pipeline_version") == version).select("file_hash").distinct(), "file_hash", "left_anti")
+    todo = todo.groupBy("file_hash").agg(F.min_by(F.struct("path", "file_type", "content"), "path").alias("x")).select("file_hash", "x.*")
+    subject, topic = subject_topic(F.col("path"), root)
+    names = todo.select("path", "file_hash", subject.alias("subject"), topic.alias("topic"))
+    read = read_pages(todo, pdf, image).join(names, "path")
+    bad = read.filter("error is not null").select("path", "file_hash", "error")
+    good = assess(read.filter("error is null"))
+    waits = (F.col("extraction_method") == "pdf_text") & F.col("q_reason").isNotNull()
+    pages = good.select("file_hash", "path", "subject", "topic", "page", F.when(~waits, F.col("text")).alias("text"), F.when(waits, "pending_vision").otherwise(F.col("extraction_method")).alias("extraction_method"), F.when(waits, 0.0).otherwise(F.least("confidence", "q_confidence")).alias("confidence"), F.col("q_reason").isNotNull().alias("is_garbled"), F.col("q_reason").alias("garbled_reason"), F.col("q_chars").alias("char_count"))
+    done = names.join(bad.select("file_hash"), "file_hash", "left_anti").select("file_hash", F.col("path").alias("original_path"), F.lit(version).alias("pipeline_version"), F.lit(at).alias("processed_at"))
+    return pages, bad, upsert_manifest(manifest.select("file_hash", "original_path", "pipeline_version", "processed_at"), done)
+
+
 def upsert_manifest(old: DataFrame, new: DataFrame) -> DataFrame:
     """The last entry of every file_hash by processed_at, as an instant; of equal ones the new one."""
     both = old.withColumn("_n", F.lit(0)).unionByName(new.withColumn("_n", F.lit(1)))

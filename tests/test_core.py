@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions import replies
 from scriptoria.functions.similarity import nfkc, ratio, self_repeat_ratio
-from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, skew
+from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, review, skew
 from scriptoria.plans import questions
 from scriptoria.session import Scratch
 from scriptoria.sources import files
@@ -481,6 +481,68 @@ def test_files_and_manifest(spark, tmp_path):
     assert files.read_json(spark, str(tmp_path / "out"), "file_hash string, v string").count() == 2
 
 
+def test_ingestion_of_files(spark):
+    def docx(text):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("word/document.xml", f'<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body><w:p><w:r><w:t>{text}</w:t></w:r></w:p></w:body></w:document>')
+        return out.getvalue()
+
+    long = "A text that is long enough to be read by everyone, with many letters."
+    rows = [("/in/Anatomy/Limb/a.docx", "h1", "docx", docx(long)), ("/in/b.docx", "h2", "docx", b"broken"), ("/in/Anatomy/c.pdf", "h3", "pdf", b"x"), ("/in/z.docx", "h1", "docx", docx(long)), ("/in/old.docx", "h4", "docx", docx("x")), ("/in/n.txt", "h5", None, b"")]
+    df = spark.createDataFrame(rows, "path string, file_hash string, file_type string, content binary")
+    manifest = spark.createDataFrame([("h4", "/in/old.docx", "2", "2026-01-01T00:00:00Z"), ("h1", "/in/a", "1", "2026-01-01T00:00:00Z")], "file_hash string, original_path string, pipeline_version string, processed_at string")
+    pages, bad, after = files.ingest(df, manifest, "2", "/in", "2026-02-01T00:00:00Z", pdf=lambda b: [long, "!!"])
+    assert set(one(pages, "file_hash", "page", "subject", "topic", "extraction_method", "text")) == {("h1", 1, "Anatomy", "Limb", "docx_text", long), ("h3", 1, "Anatomy", None, "pdf_text", long), ("h3", 2, "Anatomy", None, "pending_vision", None)}
+    assert one(bad, "path") == [("/in/b.docx",)]
+    assert set(one(after, "file_hash", "pipeline_version")) == {("h1", "2"), ("h3", "2"), ("h4", "2")}
+
+
+def test_review_and_checks(spark):
+    option = "array<struct<label:string,text:string>>"
+    q = spark.createDataFrame([("q1", "Which bone?", [("a", "femur"), ("b", "ulna")], "a"), ("q2", None, None, None)], f"question_id string, question_text string, options {option}, source_answer string")
+    prompt = one(q.select(review.question_prompt(F.col("question_text"), F.col("options"), F.col("source_answer")).alias("p")), "p")
+    assert prompt == [("Question: Which bone?\na) femur\nb) ulna\nAnswer: a",), ("Question: ",)]
+
+    def model(p):
+        if "Answer: b" in p:
+            return '<think>x</think>{"suggested": "a", "explanation": "so"}'
+        return '{"agrees": true, "suggested": "a", "explanation": "so"}'
+
+    probes = review.probe_checker(q, model)
+    assert set(one(probes, "question_id", "injected", "given", "agrees")) == {("q1", False, "a", True), ("q1", True, "b", False)}
+    assert one(review.caught_rate(probes), "usable", "caught", "false_alarms") == [(2, 1.0, 0.0)]
+
+    def fails(p):
+        raise OSError("no service")
+
+    assert set(one(review.ask(q.select("question_id", F.lit("p").alias("p")), "p", fails), "question_id", "reply", "error")) == {("q1", None, "OSError: no service"), ("q2", None, "OSError: no service")}
+    rows = spark.createDataFrame([(0.9, ["x"], "", ["x", "y"]), (0.1, None, "seen", ["y"]), (0.9, None, None, [])], "confidence double, concerns array<string>, notes string, flags array<string>")
+    assert one(review.merge_concerns(rows), "confidence", "concerns", "notes") == [(0.2, ["x", "y"], "structural: x, y"), (0.1, ["y"], "seen"), (0.9, [], None)]
+    exports = [("q1", "t", [("a", "x")], "a", None, day(1), None), ("q1", "t", [("a", "y")], "a", True, day(2), None), ("q2", "t", None, None, True, day(1), None), ("q3", None, [], "a", None, None, None)]
+    e = spark.createDataFrame(exports, f"question_id string, question_text string, options {option}, source_answer string, check_agrees boolean, exported_at timestamp, matching_pairs {option}")
+    assert set(one(review.check_states(e), "question_id", "contents", "state")) == {("q1", 2, "changed"), ("q2", 1, "current"), ("q3", 1, "unchecked")}
+    assert set(one(review.structure_changes(e), "question_id", "exports", "changes")) == {("q1", 2, 1), ("q2", 1, 0), ("q3", 1, 0)}
+    out = spark.createDataFrame([("p", day(k), "pass" if k != 3 else "fail", f"s{k % 10}") for k in range(1, 13)], "profile_id string, at timestamp, verdict string, signature string")
+    assert one(review.last_signatures(out), "signatures") == [([f"s{k}" for k in (5, 6, 7, 8, 9, 0, 1, 2)],)]
+
+
+def test_pages_to_transcribe(spark):
+    long = "The wall of the lobe is covered by the membrane, which joins the sheath of it."
+    rows = [("d", 1, long, "pending_vision", "/a.png"), ("d", 2, None, "pending_vision", " "), ("d", 3, "abc", "pdf_text", "/b.JPG"), ("d", 4, f"{long}\n\nother\n\n{long}", "pdf_text", None)]
+    p = spark.createDataFrame(rows, "document_id string, page int, text string, extraction_method string, rendered_image_path string")
+    assert one(review.pending_pages(p), "page") == [(1,)] and one(review.pending_pages(p, True), "page") == [(1,), (3,)]
+    assert set(one(review.transcription_outcome(p), "page", "outcome", "outcome_reason")) == {(1, "clean", None), (2, "garbled", "empty_extraction"), (3, "garbled", "too_short"), (4, "repeated", "repeated_content:0_1")}
+    assert one(p.select(review.media_type(F.col("rendered_image_path")).alias("m")), "m") == [("image/png",), ("image/png",), ("image/jpeg",), ("image/png",)]
+    q = spark.createDataFrame([("q", "d", [([3, 4],)]), ("r", "d", []), ("s", "e", None)], "question_id string, document_id string, source_spans array<struct<pages:array<int>>>")
+    assert set(one(review.question_images(q, p), "question_id", "page", "image")) == {("q", 3, "/b.JPG"), ("r", None, None), ("s", None, None)}
+    ls = spark.createDataFrame([("d", 1, k, f"line {k} " + "x" * (300 if k == 5 else 0)) for k in range(10)], "document_id string, page int, idx int, text string")
+    marks = spark.createDataFrame([("d", 1, 1), ("d", 1, 4)], "document_id string, page int, idx int")
+    got = one(review.excerpt_lines(ls, marks, 1, 500), "idx", "line")
+    assert [k for k, _ in got] == [0, 1, 2, 3, 4, 5] and got[1] == (1, "p1:1| line 1 ") and got[5][1].endswith("…")
+    assert len(one(review.excerpt_lines(ls, marks, 1, 40), "idx")) == 2
+
+
 def test_streams(spark, tmp_path):
     from scriptoria.streaming import ingest
 
@@ -496,6 +558,23 @@ def test_streams(spark, tmp_path):
     assert sorted(r.level for r in spark.table("levels").collect()) == [2_000_000, 3_000_000, 4_000_000, 5_000_000, 6_000_000]
 
 
+def test_documents_with_their_pages(spark, tmp_path):
+    page = "document_id string, page int, text string, extraction_method string, confidence double, is_garbled boolean, garbled_reason string, char_count int"
+    pages = spark.createDataFrame([("d", 2, "b", "m", 0.9, False, None, 1), ("d", 1, "a", "m", 0.9, False, None, 1), ("d", 1, "a", "m", 0.9, False, None, 1)], page)
+    documents = spark.createDataFrame([("d", "f.pdf"), ("d", "f.pdf"), ("e", "g.pdf")], "document_id string, original_filename string")
+    out = files.nested_documents(pages, documents)
+    files.write_json(out, str(tmp_path / "docs"), buckets=4)
+    back = files.read_json(spark, str(tmp_path / "docs/*"), "document_id string, pages array<struct<page:int,text:string>>")
+    assert {r.document_id: [tuple(x) for x in r.pages or []] for r in back.collect()} == {"d": [(1, "a"), (2, "b")], "e": []}
+
+
+def test_counts_in_windows(spark):
+    from scriptoria.streaming.ingest import windowed_counts
+
+    rows = spark.createDataFrame([(day(1, 1), "a"), (day(1, 2), "a"), (day(2), "a"), (day(2), None)], "ts timestamp, kind string")
+    assert {(r.window_start.day, r.kind, r.n) for r in windowed_counts(rows, "ts", "kind").collect()} == {(1, "a", 2), (2, "a", 1), (2, None, 1)}
+
+
 def test_the_core_stands_alone():
     import ast
     from pathlib import Path
