@@ -30,8 +30,8 @@ RUN = 3
 HIST_BITS = 20
 #: Cost of a row met while probing, against 1 for a candidate.
 SCAN = 0.02
-#: Cells of the dynamic program held at once.
-DP_CELLS = 8_000_000
+#: Cells of the dynamic program held at once; so many stay in a core's cache.
+DP_CELLS = 100_000
 #: Parts that the rows of a bit beyond HARMLESS are spread over.
 SALTS = 32
 
