@@ -38,6 +38,8 @@ MARKS = ("*", "✓", "✔", "(correct)")
 
 # Candidate styles of stems (prefix, opening, closer) and options (case, opening, closer).
 STEM_STYLES = [(p, o, c) for p in ("", "Q", "Question") for o, c in (("", "-"), ("", "."), ("", ")"), ("", ":"), ("(", ")"), ("[", "]"))]
+STEM_PARTS = r"(?iU)^(?:(Question|Q)\s*)?(?:([(\[])\s*)?(\d{1,3})\s*([-.):\]])"
+OPTION_PARTS = r"(?U)^(?:(\()\s*)?([a-fA-F])\s*([-.):])"
 OPTION_STYLES = [(k, o, c) for k in ("lower", "upper") for o, c in (("", "."), ("", ")"), ("", "-"), ("", ":"), ("(", ")"))]
 
 # Punctuation that is no noise, and the thresholds of the text gate in the order of its checks.
