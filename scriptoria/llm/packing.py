@@ -10,6 +10,7 @@ the rest best-fit. Texts find their container from their rank among the texts of
 from __future__ import annotations
 
 import base64
+import os
 from bisect import insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -181,12 +182,13 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer: str | None = None, capaci
     take no room and get container null with 0 tokens. Repeated rows are packed each for itself.
     """
     path = tokenizer or default_tokenizer()
+    docs.sparkSession.sparkContext.addFile(path)
     kind = dict(docs.dtypes)[doc_id]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        from pyspark import SparkFiles, TaskContext
 
-        encoding, part, seen = _encoding(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encoding, part, seen = _encoding(SparkFiles.get(os.path.basename(path))), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
             n = np.array([len(encoding.encode_ordinary(t)) if t else 0 for t in b.column("text").to_pylist()], np.int64)
             pieces = np.maximum(1, -(-n // capacity))

@@ -54,6 +54,19 @@ def p8_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), Scratch(spark, "p8"))
 
 
+def p8_placement(spark: SparkSession, d: str) -> DataFrame:
+    """Of each text whether all of it is placed, whether pieces are missing, and whether a container of it holds too much."""
+    items = packing.pack(table(spark, d, "documents"), Scratch(spark, "p8p"))
+    items = Scratch(spark, "p8p").cut(items, "placed")
+    full = items.filter("container is not null").groupBy("container").agg(F.sum("tokens").alias("held"))
+    rows = items.join(full, "container", "left")
+    sizes = rows.groupBy("doc_id").agg(
+        F.bool_and(F.col("container").isNotNull()).alias("placed"), (F.count_distinct("piece") != F.max("piece") + 1).alias("gaps"),
+        F.coalesce(F.bool_or(F.col("held") > packing.CAPACITY), F.lit(False)).alias("overfull"), (F.bool_or((F.col("tokens") < packing.CAPACITY) & (F.col("first_token") > 0)) & (F.max("piece") == 0)).alias("split_needlessly"),
+    )
+    return sizes
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "heldout_items")).select("doc_id", "item_id")
 
@@ -68,7 +81,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [p1_found, p1_shares, p3_found, p4_found, p4_classes, p6_found, p6_repaired, p7_found, p7_restored, p8_packing, p9_found, p9_with_edits, p10_found]
+    made = [p1_found, p1_shares, p3_found, p4_found, p4_classes, p6_found, p6_repaired, p7_found, p7_restored, p8_packing, p8_placement, p9_found, p9_with_edits, p10_found]
     return {f.__name__: f for f in made}
 
 
@@ -125,6 +138,8 @@ l AS (SELECT a, count(*) AS links FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r
 SELECT question_id, class_id, coalesce(links, 0) AS class_links FROM q JOIN k USING (w) LEFT JOIN l ON l.a = k.r
 """
 
+P8 = "SELECT doc_id, coalesce(text, '') <> '' AS placed, false AS gaps, false AS overfull, false AS split_needlessly FROM documents"
+
 P9 = rf"""
 WITH d AS (SELECT doc_id, {WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
 i AS (SELECT item_id, {WORDS.format("text")} AS w FROM heldout_items),
@@ -135,4 +150,4 @@ SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (run)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p1_shares": P1_SHARES, "p3_found": P3, "p4_found": P4, "p4_classes": P4_CLASSES, "p9_found": P9}
+    return {"p1_found": P1, "p1_shares": P1_SHARES, "p3_found": P3, "p4_found": P4, "p4_classes": P4_CLASSES, "p8_placement": P8, "p9_found": P9}
