@@ -32,6 +32,8 @@ PLAIN, AGAIN, LABELS = 1 << 14, 1 << 6, 1 << 4
 THRESHOLD = 0.0005
 #: Scale of the values of repeated runs.
 SCALE = 10.0
+#: What labels of changed rows are made of, so that every bucket of labels is learned.
+SIGNS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 
 def label_key(label: str | None) -> str:
@@ -209,7 +211,8 @@ def _changed(rng: random.Random, text: str, labels: list[str | None] | None) ->
     w = text.split()
     if rng.random() < 0.25:
         known = [x for x in labels or () if x] or ["a", "b", "c", "d"]
-        return text, [*known, rng.choice(known)]
+        again = rng.choice(known) if rng.random() < 0.3 else f"{rng.choice(SIGNS)}{rng.choice(('', '', '', rng.choice(SIGNS)))}"
+        return text, [*known, again, again]
     for _ in range(rng.randint(1, 3)):
         if len(w) < RUN:
             break

@@ -84,6 +84,8 @@ def test_the_classifier_selects(spark):
     df = spark.createDataFrame(rows, TEXTS)
     model = repetition.fit_model(df, "question_id", "question_text")
     out = repetition.measure_repetition(df, model).collect()
+    odd = spark.createDataFrame([(f"o{x}", rows[1][1], [("a", "t"), (x, "t"), (f" {x.upper()})", "t")], 0) for x in ("f", "g", "z", "9", "iv", "10", "أ", "ж")], TEXTS)
+    assert all(r.probability >= repetition.THRESHOLD for r in repetition.measure_repetition(odd, model).collect())
     true = {q for q, t, o, _ in rows if brute_repeats(t, [x for x, _ in o])}
     chosen = {r.question_id for r in out if r.probability >= repetition.THRESHOLD}
     assert true <= chosen and len(chosen) < 2 * len(true)
