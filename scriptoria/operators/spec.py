@@ -18,6 +18,7 @@ from scriptoria.functions.similarity import normalize_literal, ratio
 from scriptoria.functions.text import collapse, strip
 from scriptoria.operators import keys, lines
 from scriptoria.operators.layouts import Layout, one_of, take_mark
+from scriptoria.session import Scratch
 
 LETTERS = "[a-f](?: *[&,] *[a-f])*"
 PAIR = "struct<left_label:string,left_text:string,right_label:string,right_text:string>"
@@ -48,28 +49,30 @@ def answer_text(layout: Layout) -> str:
     return rf"(?i)^{_beside(layout)}\s*[:\-=]\s*(.+)$"
 
 
-def layout_sections(rows: DataFrame, layout: Layout, least: float = 0.9) -> tuple[DataFrame, DataFrame]:
+def layout_sections(rows: DataFrame, layout: Layout, scratch: Scratch, least: float = 0.9) -> tuple[DataFrame, DataFrame]:
     """(content lines with section, kind, is_key, grouped; (document_id, anomaly)).
 
     A line of at most 80 characters is a header if its literal form equals one of the layout's, or is nearly
     equal to one of four letters or more; the latter is told. Lines before any header are of default_kind.
+    Different texts are compared once each, and only with headers of about their length.
     """
     kinds = sorted((" ".join(h.lower().split()).strip(" *#_:.-–—=|~"), k) for h, k in layout.headers.items())
-    body = rows.filter("not furniture").withColumn("_n", F.when(F.length("text") <= 80, normalize_literal("text")))
-    exact, near, name = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")
-    for h, k in reversed(kinds):
-        exact = F.when(F.col("_n") == h, k).otherwise(exact)
-        if len(h) >= 4:
-            close = (F.abs(F.length("_n") - len(h)) <= 3) & (F.col("_n") != "") & (F.levenshtein(F.substring("_n", 1, 80), F.lit(h)) <= len(h) // 2) & (ratio("_n", F.lit(h)) >= least)
-            near, name = F.when(close, k).otherwise(near), F.when(close, h).otherwise(name)
-    body = body.withColumn("_e", exact).withColumn("_f", F.when(F.col("_e").isNull(), near)).withColumn("_to", F.when(F.col("_e").isNull(), name)).withColumn("_h", F.coalesce("_e", "_f"))
+    heads = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(h).alias("h"), F.lit(k).alias("k")) for i, (h, k) in enumerate(kinds)])
+    body = rows.filter("not furniture")
+    short = body.filter(F.length("text") <= 80).select("text").distinct().withColumn("n", normalize_literal("text")).filter("n <> ''")
+    pairs = short.select("text", "n", F.explode(heads).alias("x")).select("text", "n", "x.*").withColumn("other", F.col("n") != F.col("h"))
+    near = (F.length("h") >= 4) & (F.abs(F.length("n") - F.length("h")) <= 3) & (F.levenshtein("n", "h") <= F.length("h") / 2)
+    met = pairs.filter(~F.col("other") | near).withColumn("r", ratio("n", "h")).filter(~F.col("other") | (F.col("r") >= least))
+    found = scratch.cut(met.groupBy("text").agg(F.min(F.struct("other", "i", "h", "k")).alias("x")).select("text", F.col("x.other").alias("_f"), F.col("x.h").alias("_to"), F.col("x.k").alias("_h")), "headers")
+    body = body.join(found, "text", "left")
     w = Window.partitionBy("document_id").orderBy(*lines.ORDER)
     body = body.withColumn("section", F.count("_h").over(w)).withColumn("_last", F.last("_h", True).over(w))
     kind = F.coalesce(F.last(F.when(F.col("_h") != "answer_key", F.col("_h")), True).over(w), F.lit(layout.default_kind))
     body = body.withColumn("kind", kind).withColumn("is_key", F.coalesce(F.col("_last") == "answer_key", F.lit(False))).withColumn("grouped", (F.col("kind") == "mcq") & F.lit(layout.grouped))
-    notes = body.filter("_f is not null").select("document_id", F.concat(F.lit("fuzzy_section_header:"), F.substring(strip("text"), 1, 40), F.lit("->"), "_to").alias("anomaly")).distinct()
+    body = scratch.cut(body, "sections")
+    notes = body.filter("_f").select("document_id", F.concat(F.lit("fuzzy_section_header:"), F.substring(strip("text"), 1, 40), F.lit("->"), "_to").alias("anomaly")).distinct()
     loose = body.filter("_h = 'answer_key' and kind is null").select("document_id", F.concat(F.lit("answer_key_without_content_kind@"), lines.ref(F.col("page"), F.col("idx"))).alias("anomaly"))
-    return body.filter("_h is null").drop("_n", "_e", "_f", "_to", "_h", "_last"), notes.unionByName(loose)
+    return body.filter("_h is null").drop("_f", "_to", "_h", "_last"), notes.unionByName(loose)
 
 
 def _ordered(c: Column, text: str) -> Column:

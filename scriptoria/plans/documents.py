@@ -374,14 +374,12 @@ def layout_questions(spark: SparkSession, d: str) -> DataFrame:
     return q.select("question_id", "document_id", "section_type", "number", "question_text", F.size("options").alias("n_options"), "source_answer", F.array_join("anomalies", ";").alias("anomalies"), "first_ref", "last_ref")
 
 
-@query()
 def layout_anomalies(spark: SparkSession, d: str) -> DataFrame:
     """What documents are to be reviewed for after that, with how often."""
     _, q, unmatched, notes = bank_extraction(spark, d)
     return questions.review_reasons(q, unmatched, notes).groupBy("document_id", "reason").agg(F.count(F.lit(1)).alias("times"))
 
 
-@query()
 def layout_choice(spark: SparkSession, d: str) -> DataFrame:
     """For each document the better of the built-in rules and the layout of the banks, where that applies."""
     scratch = Scratch(spark, "choice")

@@ -105,11 +105,12 @@ def extract_with_layout(marked: DataFrame, layout: Layout, scratch: Scratch) ->
     """
     if layout.problems():
         raise ValueError("; ".join(layout.problems()))
-    rows, notes = spec.layout_sections(marked, layout)
+    rows, notes = spec.layout_sections(marked, layout, scratch)
     rows = scratch.cut(rows, "rows")
     records = scratch.cut(spec.layout_records(rows, layout), "records")
     keyed = rows if layout.key_mode == "section" else rows.filter("not is_key")
     numbered, told = spec.numbered_with_layout(keyed, layout)
+    numbered, told = scratch.cut(numbered, "numbered"), scratch.cut(told, "told")
     heading = lines.is_heading(F.col("text")) & ~F.col("text").rlike(layout.stem.pattern())
     grouped = keys.grouped_entries(keyed, P.ANY_KEY_LINE.replace(")(", ""), spec.entry_pattern(layout), heading)
     questions, unmatched, more = attach_keys(records, keyed, numbered, keys.fill_in_entries(keyed, layout.stem.pattern()), grouped, scratch)
