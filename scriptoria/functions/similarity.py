@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Signs that a literal form does not have at its ends.
+DECORATION = " *#_:.-–—=|~"
+
 
 @F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -49,4 +52,4 @@ def nfkc(text: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def normalize_literal(text: pd.Series) -> pd.Series:
     """NFKC, lower case, single blanks, without decoration at the ends."""
-    return pd.Series([None if t is None else " ".join(unicodedata.normalize("NFKC", t).lower().split()).strip(" *#_:.-–—=|~") for t in text], dtype="object")
+    return pd.Series([None if t is None else " ".join(unicodedata.normalize("NFKC", t).lower().split()).strip(DECORATION) for t in text], dtype="object")

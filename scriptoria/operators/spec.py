@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions import patterns as P
-from scriptoria.functions.similarity import normalize_literal, ratio
+from scriptoria.functions.similarity import DECORATION, normalize_literal, ratio
 from scriptoria.functions.text import collapse, strip
 from scriptoria.operators import keys, lines
 from scriptoria.operators.layouts import Layout, one_of, take_mark
@@ -54,16 +54,23 @@ def layout_sections(rows: DataFrame, layout: Layout, scratch: Scratch, least: fl
 
     A line of at most 80 characters is a header if its literal form equals one of the layout's, or is nearly
     equal to one of four letters or more; the latter is told. Lines before any header are of default_kind.
-    Different texts are compared once each, and only with headers of about their length.
+    Different texts are compared once each, and only with headers of about their length. The literal form of
+    ASCII texts is an expression, as their compatibility form is themselves.
     """
-    kinds = sorted((" ".join(h.lower().split()).strip(" *#_:.-–—=|~"), k) for h, k in layout.headers.items())
-    heads = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(h).alias("h"), F.lit(k).alias("k")) for i, (h, k) in enumerate(kinds)])
+    kinds = sorted((" ".join(h.lower().split()).strip(DECORATION), k) for h, k in layout.headers.items())
+    kinds = [(h, k) for h, k in kinds if h]
+    heads = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(h).alias("h"), F.lit(k).alias("k")) for i, (h, k) in enumerate(kinds)]).cast("array<struct<i:int,h:string,k:string>>")
     body = rows.filter("not furniture")
-    short = body.filter(F.length("text") <= 80).select("text").distinct().withColumn("n", normalize_literal("text")).filter("n <> ''")
-    pairs = short.select("text", "n", F.explode(heads).alias("x")).select("text", "n", "x.*").withColumn("other", F.col("n") != F.col("h"))
+    short = body.filter(F.length("text") <= 80).select("text")
+    ascii_only = F.length("text") == F.octet_length("text")
+    plain = short.filter(ascii_only).withColumn("n", F.btrim(F.regexp_replace(F.lower("text"), r"[\t-\r\x1c-\x1f ]+", " "), F.lit(DECORATION)))
     near = (F.length("h") >= 4) & (F.abs(F.length("n") - F.length("h")) <= 3) & (F.levenshtein("n", "h") <= F.length("h") / 2)
-    met = pairs.filter(~F.col("other") | near).withColumn("r", ratio("n", "h")).filter(~F.col("other") | (F.col("r") >= least))
+    met = lambda df: df.select("text", "n", F.explode(heads).alias("x")).select("text", "n", "x.*").withColumn("other", F.col("n") != F.col("h")).filter((F.col("n") == F.col("h")) | near)
+    pairs = scratch.cut(met(plain).unionByName(met(short.filter(~ascii_only).distinct().withColumn("n", normalize_literal("text")))).distinct(), "pairs")
+    # equal and nearly equal ones apart: as one condition the optimizer has every pair compared
+    met = pairs.filter("not other").unionByName(pairs.filter("other").withColumn("r", ratio("n", "h")).filter(F.col("r") >= least).drop("r"))
     found = scratch.cut(met.groupBy("text").agg(F.min(F.struct("other", "i", "h", "k")).alias("x")).select("text", F.col("x.other").alias("_f"), F.col("x.h").alias("_to"), F.col("x.k").alias("_h")), "headers")
+    scratch.drop(pairs)
     body = body.join(found, "text", "left")
     w = Window.partitionBy("document_id").orderBy(*lines.ORDER)
     body = body.withColumn("section", F.count("_h").over(w)).withColumn("_last", F.last("_h", True).over(w))

@@ -4,13 +4,15 @@ import io
 import random
 import zipfile
 from datetime import datetime
+from difflib import SequenceMatcher
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from scriptoria.functions import replies
 from scriptoria.functions.similarity import nfkc, ratio, self_repeat_ratio
-from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, review, skew
+from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, review, skew, spec
 from scriptoria.plans import questions
 from scriptoria.session import Scratch
 from scriptoria.sources import files
@@ -360,6 +362,24 @@ def test_layout_with_nearly_equal_headers_and_entries_across_pages(spark):
         extracted(spark, [("L", 1, text)], layouts.Layout(NUMBER, None, {"x": "mcq"}))
 
 
+def test_only_texts_near_a_header_are_compared(spark, monkeypatch):
+    compared = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
+        compared.add(len(a))
+        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
+
+    monkeypatch.setattr(spec, "ratio", counted)
+    texts = [f"Line {i} of a text" for i in range(300)] + ["** Model  Answers:", "Model ansvers", "ﬁll in the blanks", "Für alles andere"]
+    rows = spark.createDataFrame([("d", 1, i, t, False) for i, t in enumerate(texts)], "document_id string, page int, idx int, text string, furniture boolean")
+    layout = layouts.Layout(layouts.Marker(), layouts.Marker("both"), {"Model answers": "answer_key", "Fill in the blanks": "fill_in_blank", "***": "mcq"}, "section", "-")
+    body, notes = spec.layout_sections(rows, layout, Scratch(spark, "tn"))
+    assert sorted(r.idx for r in body.collect()) == [*range(300), 303]
+    assert {r.anomaly for r in notes.collect() if r.anomaly.startswith("fuzzy")} == {"fuzzy_section_header:Model ansvers->model answers"}
+    assert 0 < compared.value <= 10
+
+
 def test_layout_with_answers_beside_the_questions(spark):
     text = "Multiple choice\n1- One?\na- p\nb- q *\n2- Two?\na- p *\nb- q\nrest *\n3- Three?\na- p\nb- q"
     q, _, _ = extracted(spark, [("L", 1, text)], layouts.Layout(NUMBER, LETTER, {"Multiple choice": "mcq"}, "marked_option", mark="*"))
