@@ -70,6 +70,17 @@ def lines_of(spark: SparkSession, d: str) -> DataFrame:
     return lines.mark_furniture(rows, lines.running_lines(rows))
 
 
+def lines_once(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
+    """lines_of, written once, from pages written once: its branches would shuffle all pages again."""
+    pages = scratch.cut(pages_once(spark, d).select("document_id", "page", "text"), "pages")
+    scratch.settle()
+    rows = lines.explode_lines(pages)
+    out = scratch.cut(lines.mark_furniture(rows, lines.running_lines(rows)), "lines")
+    scratch.drop(pages)
+    scratch.settle()
+    return out
+
+
 def section_rows(spark: SparkSession, d: str) -> DataFrame:
     """Content lines by section, written once, as several steps read them."""
     return Scratch(spark, "sections").cut(lines.assign_sections(lines.content_lines(lines_of(spark, d))), "rows")
@@ -339,8 +350,10 @@ def stored_questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stored_report(spark: SparkSession, d: str) -> DataFrame:
-    marked = Scratch(spark, "validation").cut(lines_of(spark, d), "lines")
-    q = Scratch(spark, "validation").cut(stored_questions(spark, d), "questions")
+    marked = lines_once(spark, d, Scratch(spark, "validation"))
+    # the references, null in all of them, stay out of the table: the plan then has no join for them
+    none = F.lit(None).cast("string")
+    q = Scratch(spark, "validation").cut(stored_questions(spark, d).drop("first_ref", "last_ref"), "questions").withColumns({"first_ref": none, "last_ref": none})
     return layouts.validation_report(q, marked, layouts.layout_features(marked), q.select("document_id").limit(0))
 
 
@@ -363,7 +376,7 @@ BANK = layouts.Layout(
 
 def bank_extraction(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     scratch = Scratch(spark, "bank")
-    marked = scratch.cut(lines_of(spark, d), "lines")
+    marked = lines_once(spark, d, scratch)
     return (marked, *questions.extract_with_layout(marked, BANK, scratch))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -72,6 +73,11 @@ class Scratch:
             if where:
                 delete_path(self.spark, where)
 
+    def settle(self) -> None:
+        """Shuffle files that no later step reads go when the driver's garbage is collected, which may be much later: asks for that."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def close(self) -> None:
         delete_path(self.spark, self.root)
 

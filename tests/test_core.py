@@ -434,6 +434,28 @@ def test_coverage_tells_lost_lines(spark):
     assert got == [(len("what is thelongest bonefemurulnalost line of text"), len("what is thelongest bonefemurulna"))]
 
 
+@pytest.mark.parametrize("searched", [1 << 26, 0])
+def test_coverage_shuffles_a_text_once(spark, monkeypatch, searched):
+    monkeypatch.setattr(layouts, "SEARCHED", searched)
+    rand = random.Random(4)
+    words = ["os", "ossis", "tibia", "fibula", "Über", "naïve", "a", "humerus"]
+    said = lambda n: " ".join(rand.choice(words) for _ in range(rand.randint(1, n)))
+    docs = {d: ([said(5) for _ in range(40)], [said(30) for _ in range(6)] + [said(300)]) for d in ("d", "e", "f")}
+    rows = [(d, 1, i, t, t, False) for d, (ls, _) in docs.items() for i, t in enumerate(ls)] + [(None, 1, 0, "tibia", "tibia", False), ("d", 1, 99, "tibia", "tibia", True), ("g", 1, 0, "os os", "os os", False)]
+    df = spark.createDataFrame(rows, "document_id string, page int, idx int, text string, norm string, furniture boolean")
+    pair = "array<struct<left_label:string,left_text:string,right_label:string,right_text:string>>"
+    q = spark.createDataFrame([(d, docs[d][0][0], t, [], None, []) for d in docs for t in docs[d][1]] + [(None, None, "tibia", [], None, []), ("h", None, "os", [], None, [])], f"document_id string, label string, question_text string, options array<struct<label:string,text:string>>, source_answer string, pairs {pair}")
+    out = layouts.content_coverage(df, q)
+    want = {(None, 5, 0), ("g", 5, 0)}
+    for d, (ls, texts) in docs.items():
+        left = [t.lower() for t in ls if t != ls[0]]
+        want.add((d, sum(map(len, left)), sum(len(t) for t in left if any(t in x.lower() for x in texts))))
+    assert set(one(out, "document_id", "eligible_chars", "covered_chars")) == want
+    # nothing is exploded into runs of characters, and no join multiplies a text
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1 and " Join " not in plan
+
+
 def test_headers_references_and_applicability(spark):
     df = lines.explode_lines(spark.createDataFrame([("d", p, "Liver\n1- One?\na- x\nb- y\nKey\nBones") for p in (1, 2, 10)], "document_id string, page int, text string")).withColumn("furniture", F.col("text") == "Bones")
     assert one(layouts.header_candidates(df, 1), "norm", "n", "ref") == [("liver", 3, "p1:0")]
