@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scriptoria.functions import replies
 from scriptoria.functions.similarity import nfkc, ratio, self_repeat_ratio
 from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, review, skew, spec
-from scriptoria.plans import questions
+from scriptoria.plans import documents, questions
 from scriptoria.session import Scratch
 from scriptoria.sources import files
 
@@ -456,6 +456,21 @@ def test_coverage_shuffles_a_text_once(spark, monkeypatch, searched):
     assert plan.count("Generate ") == 1 and " Join " not in plan
 
 
+def test_scores_of_stored_questions(spark, tmp_path):
+    page = "1- What is the\nlongest bone?\na- femur\nb- ulna\na line that was lost"
+    spark.createDataFrame([("d", 1, page), ("d", 1, page), ("e", 1, None)], "document_id string, page int, text string").write.parquet(str(tmp_path / "page_extractions.parquet"))
+    pair = "array<struct<left_label:string,left_text:string,right_label:string,right_text:string>>"
+    kind = f"question_id string, document_id string, section_type string, group_label string, question_number string, question_text string, options array<struct<label:string,text:string>>, matching_pairs {pair}, source_answer string, anomalies array<string>, exported_at string, duplicate_of_question_id string"
+    text = "What is the longest bone?" + " and so on" * 50
+    q = [(f"q{i}", "d", "mcq", None, str(i), text, [("a", "femur"), ("b", "ulna")], [], "a", [], day, None) for i in (1, 2, 3) for day in ("1", "2")]
+    spark.createDataFrame(q, kind).write.parquet(str(tmp_path / "needs_review.parquet"))
+    out = documents.validation_scores(spark, str(tmp_path))
+    (got,) = one(out, "document_id", "verdict", "score")
+    assert got[:2] == ("d", "fail") and 0.5 < got[2] < 1
+    # rows grow with the texts, not with their characters
+    assert "sequence(1, greatest(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_headers_references_and_applicability(spark):
     df = lines.explode_lines(spark.createDataFrame([("d", p, "Liver\n1- One?\na- x\nb- y\nKey\nBones") for p in (1, 2, 10)], "document_id string, page int, text string")).withColumn("furniture", F.col("text") == "Bones")
     assert one(layouts.header_candidates(df, 1), "norm", "n", "ref") == [("liver", 3, "p1:0")]
