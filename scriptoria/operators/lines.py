@@ -39,12 +39,26 @@ def running_lines(lines: DataFrame, min_pages: int = P.FURNITURE_PAGES, min_shar
     return found.join(total, "document_id").filter(F.col("n_pages") * 1000 >= F.col("doc_pages") * share)
 
 
+def is_furniture(text: Column, running: Column) -> Column:
+    """Running lines, page numbers, page labels and fences. Answers are rescued."""
+    bare = text.rlike(P.PAGE_NUMBER) | text.rlike(P.PAGE_LABEL) | text.rlike(P.FENCE)
+    return bare | (F.coalesce(running, F.lit(False)) & ~(is_key_like(text) | text.rlike(P.INLINE_ANSWER)))
+
+
 def mark_furniture(lines: DataFrame, running: DataFrame) -> DataFrame:
-    """lines with furniture: running lines, page numbers, page labels and fences. Answers are rescued."""
+    """lines with furniture."""
     hit = running.select("document_id", "norm", F.lit(True).alias("_run"))
-    bare = F.col("text").rlike(P.PAGE_NUMBER) | F.col("text").rlike(P.PAGE_LABEL) | F.col("text").rlike(P.FENCE)
-    answer = is_key_like(F.col("text")) | F.col("text").rlike(P.INLINE_ANSWER)
-    return lines.join(hit, ["document_id", "norm"], "left").withColumn("furniture", bare | (F.coalesce("_run", F.lit(False)) & ~answer)).drop("_run")
+    return lines.join(hit, ["document_id", "norm"], "left").withColumn("furniture", is_furniture(F.col("text"), F.col("_run"))).drop("_run")
+
+
+def mark_documents(lines: DataFrame, min_pages: int = P.FURNITURE_PAGES, min_share: float = P.FURNITURE_SHARE, max_chars: int = P.FURNITURE_CHARS) -> DataFrame:
+    """mark_furniture(lines, running_lines(lines)) by windows: lines that are partitioned by document stay where they are."""
+    share = int(round(min_share * 1000))
+    said = F.size(F.collect_set("page").over(Window.partitionBy("document_id", "norm")))
+    pages = F.size(F.collect_set("page").over(Window.partitionBy("document_id")))
+    rows = lines.withColumn("_said", said).withColumn("_pages", pages)
+    run = F.col("document_id").isNotNull() & (F.length("norm") <= max_chars) & (F.col("norm") != "") & (F.col("_said") >= min_pages) & (F.col("_said") * 1000 >= F.col("_pages") * share)
+    return rows.withColumn("furniture", is_furniture(F.col("text"), run)).drop("_said", "_pages")
 
 
 def content_lines(lines: DataFrame) -> DataFrame:

@@ -71,12 +71,9 @@ def lines_of(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lines_once(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
-    """lines_of, written once, from pages written once: its branches would shuffle all pages again."""
-    pages = scratch.cut(pages_once(spark, d).select("document_id", "page", "text"), "pages")
-    scratch.settle()
-    rows = lines.explode_lines(pages)
-    out = scratch.cut(lines.mark_furniture(rows, lines.running_lines(rows)), "lines")
-    scratch.drop(pages)
+    """lines_of, written once: the pages are shuffled once, by document, and their lines not at all."""
+    pages = table(spark, d, "page_extractions").select("document_id", "page", "text").repartition("document_id").dropDuplicates(["document_id", "page"])
+    out = scratch.cut(lines.mark_documents(lines.explode_lines(pages)), "lines")
     scratch.settle()
     return out
 
@@ -91,10 +88,10 @@ def signatures_of(spark: SparkSession, d: str) -> DataFrame:
     return Scratch(spark, "layouts").cut(layouts.signatures(layouts.layout_features(marked)), "signatures")
 
 
-def questions_once(spark: SparkSession, d: str) -> DataFrame:
-    """The last export of every question."""
+def questions_once(spark: SparkSession, d: str, *wanted: str) -> DataFrame:
+    """The last export of every question, with the columns wanted or all."""
     rows = table(spark, d, "needs_review")
-    cols = [c for c in rows.columns if c != "question_id"]
+    cols = [c for c in wanted or rows.columns if c != "question_id"]
     return rows.groupBy("question_id").agg(F.max_by(F.struct(*cols), F.struct("exported_at", F.xxhash64("document_id", "question_text", "duplicate_of_question_id"))).alias("x")).select("question_id", "x.*")
 
 
@@ -344,16 +341,18 @@ def layout_matches(spark: SparkSession, d: str) -> DataFrame:
 
 def stored_questions(spark: SparkSession, d: str) -> DataFrame:
     """The last export of every question in the form of extracted ones."""
-    q = questions_once(spark, d)
+    q = questions_once(spark, d, "document_id", "section_type", "group_label", "question_number", "question_text", "options", "matching_pairs", "source_answer", "anomalies")
     none = F.lit(None).cast("string")
     return q.select("question_id", "document_id", "section_type", F.col("group_label").alias("label"), F.col("question_number").alias("number"), "question_text", "options", F.col("matching_pairs").alias("pairs"), "source_answer", "anomalies", none.alias("first_ref"), none.alias("last_ref"))
 
 
 def stored_report(spark: SparkSession, d: str) -> DataFrame:
-    marked = lines_once(spark, d, Scratch(spark, "validation"))
+    scratch = Scratch(spark, "validation")
     # the references, null in all of them, stay out of the table: the plan then has no join for them
     none = F.lit(None).cast("string")
-    q = Scratch(spark, "validation").cut(stored_questions(spark, d).drop("first_ref", "last_ref"), "questions").withColumns({"first_ref": none, "last_ref": none})
+    q = scratch.cut(stored_questions(spark, d).drop("first_ref", "last_ref"), "questions").withColumns({"first_ref": none, "last_ref": none})
+    scratch.settle()
+    marked = lines_once(spark, d, scratch)
     return layouts.validation_report(q, marked, layouts.layout_features(marked), q.select("document_id").limit(0))
 
 

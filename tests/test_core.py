@@ -471,6 +471,31 @@ def test_scores_of_stored_questions(spark, tmp_path):
     assert "sequence(1, greatest(" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lines_are_marked_where_their_pages_are(spark, tmp_path, monkeypatch):
+    rand = random.Random(7)
+    pool = ["Anatomy of the limb", "anatomy  of the limb.", "1-a 2-b 3-c", "Answer: b", "12", "12 | Page", "```", ".", "x" * 61, "Liver", "a- femur", "\u00dcber"]
+    rows = [(d, p, None if rand.random() < 0.1 else "\n".join(rand.choice(pool) if rand.random() < 0.7 else f"line {rand.random()}" for _ in range(rand.randint(0, 4)))) for d in ("a", "b", "c", None) for p in [*range(1, 12), None]]
+    spark.createDataFrame([*rows, *rows[:9]], "document_id string, page int, text string").repartition(3).write.parquet(str(tmp_path / "page_extractions.parquet"))
+    cut, plans = Scratch.cut, {}
+    monkeypatch.setattr(Scratch, "cut", lambda self, df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or cut(self, df, name))
+    order = ["document_id", "page", "idx", "text", "norm", "furniture"]
+    got = sorted(map(repr, one(documents.lines_once(spark, str(tmp_path), Scratch(spark, "tm")), *order)))
+    want = one(documents.lines_of(spark, str(tmp_path)), *order)
+    assert got == sorted(map(repr, want)) and {r[0] for r in want if r[5] and r[3] == "Liver"} and not all(r[5] for r in want if r[3] == "Liver")
+    # pages are shuffled once, their lines not at all
+    assert list(plans) == ["lines"] and plans["lines"].count("Exchange hashpartitioning") == 1
+
+
+def test_stored_questions_shuffle_what_they_hold(spark, tmp_path):
+    text, day = "array<struct<label:string,text:string>>", "exported_at string, duplicate_of_question_id string"
+    pair = "array<struct<left_label:string,left_text:string,right_label:string,right_text:string>>"
+    kind = f"question_id string, document_id string, section_type string, group_label string, question_number string, question_text string, options {text}, matching_pairs {pair}, source_answer string, anomalies array<string>, {day}, ai_reviewed_at string"
+    spark.createDataFrame([("q", "d", "mcq", None, "1", t, [("a", "x")], [], "a", [], t, None, "long ago") for t in ("1", "3", "2")], kind).write.parquet(str(tmp_path / "needs_review.parquet"))
+    out = documents.stored_questions(spark, str(tmp_path))
+    assert one(out, "question_id", "question_text", "source_answer") == [("q", "3", "a")]
+    assert "ai_reviewed_at" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_headers_references_and_applicability(spark):
     df = lines.explode_lines(spark.createDataFrame([("d", p, "Liver\n1- One?\na- x\nb- y\nKey\nBones") for p in (1, 2, 10)], "document_id string, page int, text string")).withColumn("furniture", F.col("text") == "Bones")
     assert one(layouts.header_candidates(df, 1), "norm", "n", "ref") == [("liver", 3, "p1:0")]
