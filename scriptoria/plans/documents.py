@@ -73,9 +73,7 @@ def lines_of(spark: SparkSession, d: str) -> DataFrame:
 def lines_once(spark: SparkSession, d: str, scratch: Scratch) -> DataFrame:
     """lines_of, written once: the pages are shuffled once, by document, and their lines not at all."""
     pages = table(spark, d, "page_extractions").select("document_id", "page", "text").repartition("document_id").dropDuplicates(["document_id", "page"])
-    out = scratch.cut(lines.mark_documents(lines.explode_lines(pages)), "lines")
-    scratch.settle()
-    return out
+    return scratch.cut(lines.mark_documents(lines.explode_lines(pages)), "lines", release=True)
 
 
 def section_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -350,8 +348,7 @@ def stored_report(spark: SparkSession, d: str) -> DataFrame:
     scratch = Scratch(spark, "validation")
     # the references, null in all of them, stay out of the table: the plan then has no join for them
     none = F.lit(None).cast("string")
-    q = scratch.cut(stored_questions(spark, d).drop("first_ref", "last_ref"), "questions").withColumns({"first_ref": none, "last_ref": none})
-    scratch.settle()
+    q = scratch.cut(stored_questions(spark, d).drop("first_ref", "last_ref"), "questions", release=True).withColumns({"first_ref": none, "last_ref": none})
     marked = lines_once(spark, d, scratch)
     return layouts.validation_report(q, marked, layouts.layout_features(marked), q.select("document_id").limit(0))
 

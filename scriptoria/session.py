@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -38,6 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + own
 
 
+#: The setting by which a write removes the shuffle files of its plan.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables that cut lineage: written once into the shared folder and read from there.
 
@@ -59,10 +62,18 @@ class Scratch:
         self.count += 1
         return f"{self.root}/{self.count:04d}-{name}"
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, release: bool = False) -> DataFrame:
+        """df, written and read back. release: the shuffle files of its plan go as soon as it is written, not when the driver's garbage is collected."""
         where = self.path(name)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(where)
+        before = self.spark.conf.get(RELEASE, None)
+        if release:
+            self.spark.conf.set(RELEASE, "true")
+        try:
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(where)
+        finally:
+            if release:
+                self.spark.conf.unset(RELEASE) if before is None else self.spark.conf.set(RELEASE, before)
         out = self.spark.read.schema(df.schema).parquet(where)
         out._scratch_path, out._scratch_rows = where, seen.get["rows"]
         return out
@@ -73,11 +84,6 @@ class Scratch:
             if where:
                 delete_path(self.spark, where)
 
-    def settle(self) -> None:
-        """Shuffle files that no later step reads go when the driver's garbage is collected, which may be much later: asks for that."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def close(self) -> None:
         delete_path(self.spark, self.root)
 

@@ -14,7 +14,7 @@ from scriptoria.functions import replies
 from scriptoria.functions.similarity import nfkc, ratio, self_repeat_ratio
 from scriptoria.operators import dedupe, incremental, keys, layouts, ledger, lines, quality, references, review, skew, spec
 from scriptoria.plans import documents, questions
-from scriptoria.session import Scratch
+from scriptoria.session import RELEASE, Scratch
 from scriptoria.sources import files
 
 
@@ -477,7 +477,7 @@ def test_lines_are_marked_where_their_pages_are(spark, tmp_path, monkeypatch):
     rows = [(d, p, None if rand.random() < 0.1 else "\n".join(rand.choice(pool) if rand.random() < 0.7 else f"line {rand.random()}" for _ in range(rand.randint(0, 4)))) for d in ("a", "b", "c", None) for p in [*range(1, 12), None]]
     spark.createDataFrame([*rows, *rows[:9]], "document_id string, page int, text string").repartition(3).write.parquet(str(tmp_path / "page_extractions.parquet"))
     cut, plans = Scratch.cut, {}
-    monkeypatch.setattr(Scratch, "cut", lambda self, df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or cut(self, df, name))
+    monkeypatch.setattr(Scratch, "cut", lambda self, df, name, *more, **named: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or cut(self, df, name, *more, **named))
     order = ["document_id", "page", "idx", "text", "norm", "furniture"]
     got = sorted(map(repr, one(documents.lines_once(spark, str(tmp_path), Scratch(spark, "tm")), *order)))
     want = one(documents.lines_of(spark, str(tmp_path)), *order)
@@ -486,6 +486,18 @@ def test_lines_are_marked_where_their_pages_are(spark, tmp_path, monkeypatch):
     assert list(plans) == ["lines"] and plans["lines"].count("Exchange hashpartitioning") == 1
 
 
+def test_a_cut_leaves_no_shuffle_files(spark):
+    def files_of(**how):
+        seen = lambda: {x for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+        before = seen()
+        out = Scratch(spark, "tr").cut(spark.range(1000).repartition("id").withColumn("n", F.lit(1)), "rows", **how)
+        left = len(seen() - before)
+        return out.count(), left
+
+    assert files_of(release=True) == (1000, 0) and files_of()[1] > 0
+    assert spark.conf.get(RELEASE, None) is None
+
+
 def test_stored_questions_shuffle_what_they_hold(spark, tmp_path):
     text, day = "array<struct<label:string,text:string>>", "exported_at string, duplicate_of_question_id string"
     pair = "array<struct<left_label:string,left_text:string,right_label:string,right_text:string>>"
